@@ -24,12 +24,12 @@ def duration_ms(text: Column | str) -> Column:
     def part(index: int) -> Column:
         return F.coalesce(F.get(parts, F.lit(index)).try_cast("double"), F.lit(0.0))
 
-    # Seconds are rounded to whole microseconds so that 59.368 gives 59368 and no binary residue.
-    value = (
-        part(0) * 86_400_000.0 + part(2) * 3_600_000.0 + part(3) * 60_000.0
-        + F.round(part(4) * 1_000_000.0) / 1_000.0
+    # Whole microseconds first, so that 59.368 gives 59368 without a binary residue.
+    micros = (
+        part(0) * 86_400_000_000.0 + part(2) * 3_600_000_000.0 + part(3) * 60_000_000.0
+        + F.round(part(4) * 1_000_000.0)
     )
-    return F.when(text.rlike(_DURATION), value)
+    return F.when(text.rlike(_DURATION), micros / 1_000.0)
 
 
 def with_durations(df: DataFrame, columns: Sequence[str]) -> DataFrame:

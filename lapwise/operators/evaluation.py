@@ -77,12 +77,17 @@ def classification_report(df: DataFrame, label: str, prediction: str, by: Sequen
     def weighted(measure: str) -> Column:
         return rate(F.sum(F.col(measure) * F.col("support")), total)
 
+    def summary(name: str, precision: Column, recall: Column, f1: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("class"), precision.alias("precision"), recall.alias("recall"), f1.alias("f1"),
+            total.alias("support"),
+        )
+
     accuracy = rate(F.sum("hits"), total)
     rows = F.array(
-        F.struct(F.lit("accuracy").alias("class"), accuracy.alias("precision"), accuracy.alias("recall"),
-                 accuracy.alias("f1"), total.alias("support")),
-        F.struct(F.lit("macro avg"), F.avg("precision"), F.avg("recall"), F.avg("f1"), total),
-        F.struct(F.lit("weighted avg"), weighted("precision"), weighted("recall"), weighted("f1"), total),
+        summary("accuracy", accuracy, accuracy, accuracy),
+        summary("macro avg", F.avg("precision"), F.avg("recall"), F.avg("f1")),
+        summary("weighted avg", weighted("precision"), weighted("recall"), weighted("f1")),
     )
     overall = scored.groupBy(*by).agg(rows.alias("__rows")).select(*by, F.inline("__rows"))
     return scored.select(*by, "class", "precision", "recall", "f1", "support").unionByName(overall)

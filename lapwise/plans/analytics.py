@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from lapwise.functions.values import correlation, ratio, row_sum, zero_as_null
+from lapwise.functions.values import ratio, row_sum, zero_as_null
 from lapwise.operators.columns import sorted_by
+from lapwise.operators.correlation import correlation_table
 from lapwise.operators.reshape import melt, pivot_mean
 from lapwise.operators.running import mean_running_points
 from lapwise.operators.summaries import MESSAGES
@@ -83,24 +84,6 @@ def speed_range_by_location(speeds: DataFrame) -> DataFrame:
     return sorted_by(spread, "SpeedRange", descending=True, ties=["Location"])
 
 
-def correlation_table(df: DataFrame, xs: Sequence[str], ys: Sequence[str]) -> DataFrame:
-    """Pearson correlation of each x with each y over their complete pairs, in rows.
-
-    One pass over the columns; the aggregate is one row wide and goes to rows afterwards.
-    """
-    cells = df.agg(
-        *[correlation(x, y).alias(f"c{i}_{j}") for i, x in enumerate(xs) for j, y in enumerate(ys)]
-    )
-    rows = F.array(
-        *[
-            F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"c{i}_{j}").alias("corr"))
-            for i, x in enumerate(xs)
-            for j, y in enumerate(ys)
-        ]
-    )
-    return cells.select(F.inline(rows))
-
-
 def target_correlations(df: DataFrame, target: str) -> DataFrame:
     """Correlation of every number column with one target."""
     numbers = [n for n, kind in df.dtypes if kind in ("int", "bigint", "double", "float") and n != target]

@@ -16,7 +16,7 @@ from lapwise.ml.split import stratified_split
 from lapwise.ml.train import (
     SEARCH_SPACE, Draw, feature_importance, position_model, predictions, random_search, validation_curve, winner_model,
 )
-from lapwise.operators.evaluation import with_class_weight
+from lapwise.operators.evaluation import class_weight, with_class_weight
 from lapwise.operators.running import fill_forward_backward
 from lapwise.session import stage
 
@@ -59,8 +59,7 @@ def train(
     encoder = build_preprocessor(labelled.filter(in_train), texts, numbers).fit(labelled.filter(in_train))
     encoded = encoder.transform(labelled).select("label", "split", "features")
     if binary:
-        weighed = with_class_weight(encoded, "label", _train_weight(encoded))
-        encoded = weighed
+        encoded = with_class_weight(encoded, "label", class_weight(encoded.filter(in_train), "label"))
     encoded = stage(encoded, "encoded")
     train_rows = encoded.filter(in_train)
     estimator = winner_model(seed=seed, **(base or {})) if binary else position_model(kind=kind, seed=seed, **(base or {}))
@@ -79,12 +78,6 @@ def train(
     )
 
 
-def _train_weight(encoded: DataFrame) -> DataFrame:
-    from lapwise.operators.evaluation import class_weight
-
-    return class_weight(encoded.filter(F.col("split") == "train"), "label")
-
-
 def train_winner(before_race: DataFrame, ids: Sequence[str], order: Sequence[str], draws: int = 20, **options) -> Trained:
     """Two-class winner model on practice columns."""
     extra = [c for c in (*ids, *order) if c not in winner_features(before_race, True).columns]
@@ -94,7 +87,7 @@ def train_winner(before_race: DataFrame, ids: Sequence[str], order: Sequence[str
 
 def train_position(before_race: DataFrame, ids: Sequence[str], order: Sequence[str], draws: int = 20, **options) -> Trained:
     """Finishing place from what is known before the race."""
-    rows = filled(before_race.drop(WINNER_LABEL).filter(F.col("Position").isNotNull()), ids, order)
+    rows = filled(before_race.drop(WINNER_LABEL), ids, order)
     return train(rows, "Position", ids, False, draws, **options)
 
 
