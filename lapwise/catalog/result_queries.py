@@ -237,14 +237,12 @@ def status_means(spark, folder):
 MEASURES = ", ".join(
     [
         *[
-            f"CASE WHEN (l_orderkey + {i}) % {5 + i} = 0 THEN NULL "
-            f"ELSE CAST((l_partkey * {i + 2} + l_orderkey) % {101 + 2 * i} AS DOUBLE) END AS {c}"
+            f"CASE WHEN l_linenumber <> {i % 7 + 1} THEN CAST(l_quantity * {i + 1} + l_partkey AS DOUBLE) END AS {c}"
             for i, c in enumerate(A.WEATHER_COLUMNS[:-1])
         ],
         f"CAST(7 AS DOUBLE) AS {A.WEATHER_COLUMNS[-1]}",
         *[
-            f"CASE WHEN (l_partkey + {i}) % {6 + i} = 0 THEN NULL "
-            f"ELSE CAST((l_suppkey * {i + 3} + l_orderkey) % {89 + 3 * i} + 1 AS DOUBLE) END AS {c}"
+            f"CASE WHEN l_linenumber <> {(i + 3) % 7 + 1} THEN CAST(l_quantity * {i + 1} + l_suppkey + 1 AS DOUBLE) END AS {c}"
             for i, c in enumerate(A.TYRE_COLUMNS)
         ],
         *[f"CAST(1 AS DOUBLE) AS {A.SPEED_PREFIX}{c}" for c in ("INTERMEDIATE", "WET")],

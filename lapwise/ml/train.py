@@ -12,6 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from lapwise.session import parallel_pieces
+
 Draw = Callable[[random.Random], float | int | str]
 
 # The ranges that the searches draw from.
@@ -114,14 +116,16 @@ def predictions(model: Model, encoded: DataFrame, keep: Sequence[str]) -> DataFr
 
 
 def with_shuffled(
-    df: DataFrame, columns: Sequence[str], ids: Sequence[str], seed: int = 42, slots: int = 256
+    df: DataFrame, columns: Sequence[str], ids: Sequence[str], seed: int = 42, slots: int | None = None
 ) -> DataFrame:
     """Beside each column, `__shuffled_{column}` with the values of other rows.
 
     Rows are put in the order of a hash of their ids inside even slots of that
     hash, and each takes the next row's value, the last one the first's. Slots are
-    as even as the ids are distinct, whatever the columns hold.
+    as even as the ids are distinct, whatever the columns hold. There is one slot
+    for each shuffle partition; each should hold many rows.
     """
+    slots = slots or parallel_pieces(df.sparkSession)
     draw = F.xxhash64(F.lit(seed), *ids)
     placed = df.withColumn("__draw", draw).withColumn("__slot", F.pmod(F.col("__draw"), F.lit(slots)))
     ring = Window.partitionBy("__slot").orderBy("__draw", *ids)
@@ -141,12 +145,12 @@ def permutation_importance(
     label: str = "label",
     metric: str = "areaUnderROC",
     seed: int = 42,
-    slots: int = 256,
+    slots: int | None = None,
 ) -> DataFrame:
     """How much the metric falls when one input column is shuffled, greatest fall first.
 
     `model` is a pipeline from raw columns to prediction; `df` is read once for
-    each column, so pass a staged table. `slots` should leave many rows in each.
+    each column, so pass a staged table.
     """
     if metric == "areaUnderROC":
         evaluator = BinaryClassificationEvaluator(labelCol=label, metricName=metric)

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def local_session(cpus: str | int = "*", name: str = "lapwise", memory: str = "16g") -> SparkSession:
     """A session for tests and the bench; on a cluster use the one submitted."""
@@ -34,9 +36,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="lapwise-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="lapwise-")
+    return _local_folders[context.applicationId]
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
