@@ -77,6 +77,8 @@ def read_with_quarantine(
     raw = (
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
+        # A pruned parse does not count the fields of a line.
+        .option("columnPruning", False)
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .option("ignoreCorruptFiles", True)
         .option("ignoreMissingFiles", True)
