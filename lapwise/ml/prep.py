@@ -7,7 +7,7 @@ from math import sqrt
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
-    ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler,
+    ElementwiseProduct, Imputer, OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler,
 )
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
@@ -59,6 +59,14 @@ def typed_columns(df: DataFrame, leave_out: Sequence[str] = ()) -> tuple[list[st
     return texts, numbers
 
 
+def columns_with_values(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Columns that are not missing in every row: the rest tell a model nothing."""
+    if not columns:
+        return []
+    known = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    return [c for c in columns if known[c] > 0]
+
+
 def encode_label(df: DataFrame, label: str, name: str = "label") -> StringIndexerModel:
     """Class numbers in text order: 1, 10, 11, 2, R."""
     as_text = df.withColumn(label, F.col(label).cast("string"))
@@ -71,7 +79,7 @@ def build_preprocessor(
 ) -> Pipeline:
     """One-hot for text, standard scaling for numbers, one feature vector.
 
-    An unseen or missing category is all zeros. Scaling uses the population
+    An unseen or missing category is all zeros, a missing number the mean. Scaling uses the population
     deviation, as the row count of `train` corrects Spark's sample deviation. The
     category lists live on the driver, so their number is checked first; text with
     more values than that is an identifier, not a category.
@@ -95,7 +103,9 @@ def build_preprocessor(
         stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True))
         parts += encoded
     if numbers:
-        stages.append(VectorAssembler(inputCols=list(numbers), outputCol="__numbers", handleInvalid="error"))
+        known = [f"__known_{c}" for c in numbers]
+        stages.append(Imputer(inputCols=list(numbers), outputCols=known, strategy="mean"))
+        stages.append(VectorAssembler(inputCols=known, outputCol="__numbers", handleInvalid="error"))
         stages.append(
             StandardScaler(inputCol="__numbers", outputCol="__sample_scaled", withMean=True, withStd=True)
         )

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from lapwise.ml.evaluate import evaluate
 from lapwise.ml.prep import (
-    WINNER_LABEL, booleans_as_numbers, build_preprocessor, encode_label, feature_names, typed_columns, winner_features,
+    WINNER_LABEL, booleans_as_numbers, build_preprocessor, columns_with_values, encode_label, feature_names,
+    typed_columns, winner_features,
 )
 from lapwise.ml.split import stratified_split
 from lapwise.ml.train import (
@@ -56,6 +57,7 @@ def train(
     indexer = encode_label(rows, label)
     labelled = indexer.transform(rows.withColumn(label, F.col(label).cast("string")))
     in_train = F.col("split") == "train"
+    texts, numbers = (columns_with_values(labelled.filter(in_train), names) for names in (texts, numbers))
     encoder = build_preprocessor(labelled.filter(in_train), texts, numbers).fit(labelled.filter(in_train))
     encoded = encoder.transform(labelled).select("label", "split", "features")
     if binary:
