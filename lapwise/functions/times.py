@@ -8,28 +8,28 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lapwise.functions.values import as_column
 
-_DURATION = r"^[-+]?\d+ days?( [-+]?\d{1,2}:\d{2}:\d{2}(\.\d+)?)?$"
-_CLOCK = r"^\d+:\d{2}:\d{2}(\.\d+)?$"
+_DAY_MICROS = 86_400_000_000.0
+_HOUR_MICROS = 3_600_000_000.0
+_MINUTE_MICROS = 60_000_000.0
 
 
 def duration_ms(text: Column | str) -> Column:
-    """`0 days 00:01:32.608000` or `00:01:32.608` in milliseconds; other text gives null.
+    """`0 days 00:01:32.608000`, `00:01:32.608` or `2 days` in milliseconds; other text gives null.
 
     The sign belongs to the day count: `-1 days +23:59:59` is -1000.
     """
-    text = F.trim(as_column(text))
-    text = F.when(text.rlike(_CLOCK), F.concat(F.lit("0 days "), text)).otherwise(text)
-    parts = F.split(text, "[ :]")
-
-    def part(index: int) -> Column:
-        return F.coalesce(F.get(parts, F.lit(index)).try_cast("double"), F.lit(0.0))
-
+    parts = F.split(F.trim(as_column(text)), "[ :]")
+    count = F.size(parts)
+    hours = F.get(parts, count - 3).try_cast("int")
+    minutes = F.get(parts, count - 2).try_cast("int")
+    seconds = F.get(parts, count - 1).try_cast("double")
     # Whole microseconds first, so that 59.368 gives 59368 without a binary residue.
-    micros = (
-        part(0) * 86_400_000_000.0 + part(2) * 3_600_000_000.0 + part(3) * 60_000_000.0
-        + F.round(part(4) * 1_000_000.0)
-    )
-    return F.when(text.rlike(_DURATION), micros / 1_000.0)
+    clock = hours * _HOUR_MICROS + minutes * _MINUTE_MICROS + F.round(seconds * 1_000_000.0)
+    named = F.get(parts, F.lit(1)).isin("day", "days")
+    days = F.when(named, F.get(parts, F.lit(0)).try_cast("int") * _DAY_MICROS)
+    unsigned = ~F.get(parts, F.lit(0)).startswith("-")
+    micros = F.when(count == 5, days + clock).when((count == 3) & unsigned, clock).when(count == 2, days)
+    return micros / 1_000.0
 
 
 def with_durations(df: DataFrame, columns: Sequence[str]) -> DataFrame:

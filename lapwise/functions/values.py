@@ -18,8 +18,11 @@ def as_column(value: Column | str) -> Column:
 
 
 def text_or_null(text: Column | str) -> Column:
-    text = as_column(text)
-    return F.when(~text.isin(MISSING_TEXTS), text)
+    if isinstance(text, str):
+        # One parsed expression: a wide table has many text columns.
+        tokens = ", ".join(f"'{token}'" for token in MISSING_TEXTS)
+        return F.expr(f"CASE WHEN trim(`{text}`) NOT IN ({tokens}) THEN trim(`{text}`) END")
+    return F.when(~F.trim(text).isin(MISSING_TEXTS), F.trim(text))
 
 
 def number_or_null(number: Column | str) -> Column:

@@ -15,7 +15,7 @@ _CORRUPT = "__corrupt"
 
 
 def _typed(name: str, kind: str) -> Column:
-    text = text_or_null(F.trim(name))
+    text = text_or_null(name)
     if kind == "duration":
         return duration_ms(text)
     if kind == "string":
@@ -54,7 +54,7 @@ def _stored(df: DataFrame, name: str, kind: str) -> Column:
     if kind == "duration":
         return duration_ms(text_or_null(name)) if found == "string" else number_or_null(F.col(name).cast("double"))
     if kind == "string":
-        return text_or_null(F.col(name).cast("string"))
+        return text_or_null(name) if found == "string" else F.col(name).cast("string")
     if kind == "double":
         return number_or_null(F.col(name).cast("double"))
     return F.col(name).try_cast(kind)
@@ -86,7 +86,7 @@ def read_with_quarantine(
         .csv(list(paths))
     )
     misfits = [
-        text_or_null(F.trim(name)).isNotNull() & _typed(name, kind).isNull()
+        text_or_null(name).isNotNull() & _typed(name, kind).isNull()
         for name, kind in schema.items()
         if kind != "string"
     ]
