@@ -149,8 +149,9 @@ EXPANDED = f"""{with_views('laps', 'weather')}, {SECTORS}, {WEATHERS}
 
 @query("expand_session_left", EXPANDED.replace("SIDE", "LEFT"))
 def expand_left(spark, folder):
-    drivers = sector_summary(view(spark, folder, "laps"), with_lap=True)
-    return expand_session(weather_summary(view(spark, folder, "weather")), drivers, how="left")
+    drivers = stage(sector_summary(view(spark, folder, "laps"), with_lap=True), "drivers")
+    sessions = stage(weather_summary(view(spark, folder, "weather")), "sessions")
+    return expand_session(sessions, drivers, how="left")
 
 
 @query("expand_session_right", EXPANDED.replace("SIDE", "RIGHT"))

@@ -160,7 +160,7 @@ def speed_range(spark, folder):
 
 @query("speeds_in_range_order", f"{SPEEDS_SQL} SELECT * FROM speeds WHERE FastestTopSpeed IS NOT NULL")
 def ordered_speeds(spark, folder):
-    found = A.compound_speed_by_location(_full(spark, folder))
+    found = stage(A.compound_speed_by_location(_full(spark, folder)), "speeds")
     spread = F.max("FastestTopSpeed") - F.min("FastestTopSpeed")
     return order_by_group_stat(found, "Location", spread, ties=["TyreCompound"])
 

@@ -14,6 +14,23 @@ _LOOK_ROWS = 1000
 _PARTIAL = "x int, y int, " + ", ".join(f"{name} double" for name in (*_SUMS, *_ENDS))
 
 
+def _ends(values: np.ndarray, known: np.ndarray, sums: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest of each column over the rows known in each other column.
+
+    They only have to tell a constant from the rest. Where the sums show spread the
+    ends are left infinitely far apart; the few pairs without it are looked at.
+    """
+    n, total, squares = sums
+    low, high = np.full(n.shape, -np.inf), np.full(n.shape, np.inf)
+    low[n == 0], high[n == 0] = np.inf, -np.inf
+    with np.errstate(invalid="ignore", divide="ignore"):
+        flat = (n > 0) & (squares - total * total / n <= 1e-6 * squares)
+    for i, j in zip(*np.nonzero(flat)):
+        column = values[known[:, j], i]
+        low[i, j], high[i, j] = np.nanmin(column), np.nanmax(column)
+    return low, high
+
+
 def _batch_moments(frame: pd.DataFrame, wide: int) -> dict[str, np.ndarray]:
     """Sums over one batch for every pair; `wide` columns of x come first."""
     values = frame.to_numpy(dtype=float)
@@ -25,17 +42,9 @@ def _batch_moments(frame: pd.DataFrame, wide: int) -> dict[str, np.ndarray]:
         "n": has_x.T @ has_y, "sx": x.T @ has_y, "sy": has_x.T @ y,
         "sxx": (x * x).T @ has_y, "syy": has_x.T @ (y * y), "sxy": x.T @ y,
     }
-    low, high = np.where(known, values, np.inf), np.where(known, values, -np.inf)
-    ends = {name: np.empty_like(sums["n"]) for name in _ENDS}
-    for j in range(y.shape[1]):
-        rows = known[:, wide + j]
-        ends["x_lo"][:, j] = low[rows, :wide].min(axis=0, initial=np.inf)
-        ends["x_hi"][:, j] = high[rows, :wide].max(axis=0, initial=-np.inf)
-    for i in range(wide):
-        rows = known[:, i]
-        ends["y_lo"][i] = low[rows, wide:].min(axis=0, initial=np.inf)
-        ends["y_hi"][i] = high[rows, wide:].max(axis=0, initial=-np.inf)
-    return {**sums, **ends}
+    x_lo, x_hi = _ends(values[:, :wide], known[:, wide:], (sums["n"], sums["sx"], sums["sxx"]))
+    y_lo, y_hi = _ends(values[:, wide:], known[:, :wide], (sums["n"].T, sums["sy"].T, sums["syy"].T))
+    return {**sums, "x_lo": x_lo, "x_hi": x_hi, "y_lo": y_lo.T, "y_hi": y_hi.T}
 
 
 def _near_values(rows: Sequence[Sequence[float | None]], columns: int) -> list[float]:

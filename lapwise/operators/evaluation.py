@@ -72,25 +72,27 @@ def classification_report(df: DataFrame, label: str, prediction: str, by: Sequen
         rate(F.col("hits"), F.col("support")).alias("recall"),
         rate(2 * F.col("hits"), F.col("named") + F.col("support")).alias("f1"),
     )
+    measures = ("precision", "recall", "f1")
     total = F.sum("support")
+    # One row for each class and one for the whole set, out of the same few rows.
+    both = scored.groupingSets([[*by, "class"], list(by)], *by, "class").agg(
+        F.grouping("class").alias("__whole"), total.alias("support"), rate(F.sum("hits"), total).alias("__accuracy"),
+        *[F.avg(m).alias(m) for m in measures],
+        *[rate(F.sum(F.col(m) * F.col("support")), total).alias(f"__{m}") for m in measures],
+    )
 
-    def weighted(measure: str) -> Column:
-        return rate(F.sum(F.col(measure) * F.col("support")), total)
+    def line(name: Column, values: Sequence[str]) -> Column:
+        fields = [F.col(v).alias(m) for m, v in zip(measures, values, strict=True)]
+        return F.struct(name.alias("class"), *fields, F.col("support"))
 
-    def summary(name: str, precision: Column, recall: Column, f1: Column) -> Column:
-        return F.struct(
-            F.lit(name).alias("class"), precision.alias("precision"), recall.alias("recall"), f1.alias("f1"),
-            total.alias("support"),
+    lines = F.when(F.col("__whole") == 0, F.array(line(F.col("class"), measures))).otherwise(
+        F.array(
+            line(F.lit("accuracy"), ["__accuracy"] * 3),
+            line(F.lit("macro avg"), measures),
+            line(F.lit("weighted avg"), [f"__{m}" for m in measures]),
         )
-
-    accuracy = rate(F.sum("hits"), total)
-    rows = F.array(
-        summary("accuracy", accuracy, accuracy, accuracy),
-        summary("macro avg", F.avg("precision"), F.avg("recall"), F.avg("f1")),
-        summary("weighted avg", weighted("precision"), weighted("recall"), weighted("f1")),
     )
-    overall = scored.groupBy(*by).agg(rows.alias("__rows")).select(*by, F.inline("__rows"))
-    return scored.select(*by, "class", "precision", "recall", "f1", "support").unionByName(overall)
+    return both.select(*by, F.inline(lines))
 
 
 def _score_counts(df: DataFrame, positive: Column, score: str, by: Sequence[str]) -> DataFrame:
@@ -115,14 +117,13 @@ def roc_points(
 
     The point (0, 0) above every score has no threshold.
     """
-    swept = _swept(_score_counts(df, F.col(label) == F.lit(positive), score, by), by)
-    points = swept.select(
+    counts = _score_counts(df, F.col(label) == F.lit(positive), score, by)
+    points = _swept(counts, by).select(
         *by, "threshold", ratio("fp", "all_neg").alias("fpr"), ratio("tp", "all_pos").alias("tpr")
     )
-    origin = points.groupBy(*by).agg(
-        F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
-    )
-    return points.unionByName(origin)
+    starts = counts.select(*by).distinct() if by else df.sparkSession.range(1)
+    origin = starts.select(*by, F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return points.unionByName(origin, allowMissingColumns=True)
 
 
 def _area(swept: DataFrame, by: Sequence[str]) -> DataFrame:

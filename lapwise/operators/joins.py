@@ -86,7 +86,8 @@ def expand_session(
 ) -> DataFrame:
     """Session columns on every driver row of the session.
 
-    `left` also keeps sessions without drivers; `right` also keeps drivers without a session row.
+    `left` also keeps sessions without drivers, and reads both sides twice: pass staged
+    tables. `right` also keeps drivers without a session row.
     """
     if how not in ("left", "right"):
         raise ValueError("how must be left or right")
@@ -139,7 +140,7 @@ def compare_to_group(
 def order_by_group_stat(
     rows: DataFrame, group: str, stat: Column, descending: bool = True, ties: Sequence[str] = ()
 ) -> DataFrame:
-    """Sort rows by a statistic of their group; `rows` is a small report table."""
+    """Sort rows by a statistic of their group. `rows` is read twice: pass a staged table."""
     ranked = rows.groupBy(group).agg(stat.alias("__stat"))
     key = F.desc_nulls_last("__stat") if descending else F.asc_nulls_last("__stat")
     return rows.join(ranked, group).orderBy(key, group, *ties).drop("__stat")

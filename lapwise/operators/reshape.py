@@ -60,20 +60,27 @@ def one_hot(df: DataFrame, column: str, values: Sequence, prefix: str) -> DataFr
     )
 
 
-def min_max_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Scale to 0..1 over the whole table; a constant column gives 0, a missing value stays so."""
+def column_ends(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
+    """Least and greatest value of each column: one pass, two numbers for each."""
     ends = df.agg(
-        *[F.min(c).cast("double").alias(f"{c}_lo") for c in columns],
-        *[F.max(c).cast("double").alias(f"{c}_hi") for c in columns],
-    )
+        *[F.min(c).cast("double").alias(f"lo_{c}") for c in columns],
+        *[F.max(c).cast("double").alias(f"hi_{c}") for c in columns],
+    ).first()
+    return {c: (ends[f"lo_{c}"], ends[f"hi_{c}"]) for c in columns}
+
 
-    def scaled(c: str) -> Column:
-        low = ends.select(f"{c}_lo").scalar()
-        high = ends.select(f"{c}_hi").scalar()
-        share = F.coalesce(F.try_divide(F.col(c) - low, high - low), F.lit(0.0))
-        return F.when(F.col(c).isNotNull(), share)
+def scaled(column: str, ends: tuple[float | None, float | None]) -> Column:
+    """The place of a value between the ends, 0..1; 0 where the ends are equal, missing where it is."""
+    low, high = ends
+    if low is None or high == low:
+        return F.when(F.col(column).isNotNull(), F.lit(0.0))
+    return (F.col(column) - F.lit(low)) / F.lit(high - low)
 
-    return df.withColumns({c: scaled(c) for c in columns})
+
+def min_max_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Scale columns to 0..1 over the whole table."""
+    ends = column_ends(df, columns)
+    return df.withColumns({c: scaled(c, ends[c]) for c in columns})
 
 
 def transpose_small(df: DataFrame, index: str) -> DataFrame:

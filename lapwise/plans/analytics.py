@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from lapwise.functions.values import ratio, row_sum, zero_as_null
 from lapwise.operators.columns import sorted_by
 from lapwise.operators.correlation import correlation_table
-from lapwise.operators.reshape import melt, pivot_mean
+from lapwise.operators.reshape import column_ends, melt, pivot_mean, scaled
 from lapwise.operators.running import mean_running_points
 from lapwise.operators.summaries import MESSAGES
 
@@ -116,9 +116,7 @@ def track_profile(full: DataFrame, entity: str, locations: Sequence[str]) -> Dat
     for the ends and once for the means, and only one row for each entity is scaled.
     """
     corners = ("slow", "medium", "fast")
-    ends = full.agg(
-        *[F.min(c).alias(f"{c}_lo") for c in corners], *[F.max(c).alias(f"{c}_hi") for c in corners]
-    )
+    ends = column_ends(full, corners)
     means = (
         full.filter(F.col(entity).isNotNull())
         .groupBy(entity)
@@ -131,9 +129,6 @@ def track_profile(full: DataFrame, entity: str, locations: Sequence[str]) -> Dat
         )
     )
 
-    def scaled(c: str):
-        low, high = ends.select(f"{c}_lo").scalar(), ends.select(f"{c}_hi").scalar()
-        share = F.coalesce(F.try_divide(F.col(c) - low, high - low), F.lit(0.0))
-        return F.when(F.col(c).isNotNull(), share).alias(c)
-
-    return means.select(entity, *[scaled(c) for c in corners], *[F.col(f"`Loc_{name}`") for name in locations])
+    return means.select(
+        entity, *[scaled(c, ends[c]).alias(c) for c in corners], *[F.col(f"`Loc_{name}`") for name in locations]
+    )

@@ -16,6 +16,7 @@ from lapwise.operators.segments import pit_summary
 from lapwise.operators.summaries import (
     MESSAGES, QUALIFYING_MESSAGES, corner_counts, lap_summary, status_counts, weather_summary,
 )
+from lapwise.session import stage
 
 # Schedule columns kept, and how each practice session joins its weather.
 EVENT_COLUMNS = (
@@ -74,7 +75,9 @@ def practice_table(raw: Mapping[str, DataFrame], session: str) -> DataFrame:
     prefix = f"{session}_"
     weather = weather_summary(raw["weather"], prefix)
     status = status_counts(raw["track_status"], prefix, MESSAGES)
-    # Track status never adds a session: it only joins those that weather has.
-    how = PRACTICE_JOIN[session]
-    sessions = weather.join(status, list(SESSION), "left") if how == "left" else combine_sessions([weather, status])
-    return expand_session(sessions, driver_laps(raw["laps"], prefix, with_lap=True), how=how)
+    drivers = driver_laps(raw["laps"], prefix, with_lap=True)
+    if PRACTICE_JOIN[session] == "right":
+        return expand_session(combine_sessions([weather, status]), drivers, how="right")
+    # Track status adds no session to those of weather.
+    sessions = weather.join(status, list(SESSION), "left")
+    return expand_session(stage(sessions, f"{session}-sessions"), stage(drivers, f"{session}-drivers"), how="left")
