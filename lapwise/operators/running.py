@@ -3,8 +3,9 @@
 Rows are cut into blocks by value: all order columns but the last, then ranges of
 the last one. A window runs inside each block; a table with one row per block
 carries totals, or last known values, from block to block. Ranges come from the
-data's own quantiles, so a group that holds most of the rows is cut into many
-blocks of like size, and a retried task finds the same blocks.
+data's own quantiles and are fixed before the blocks are made, so a group that
+holds most of the rows is cut into many blocks of like size, and a retried task
+finds the same blocks.
 
 The last order column must be numeric and unique among rows that agree on the rest.
 """
@@ -19,19 +20,33 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lapwise.session import parallel_pieces
 
 _PIECE = "__piece"
+_LOOK_PER_PIECE = 200
 _BEFORE = (Window.unboundedPreceding, -1)
 _SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 
 
+def cut_points(df: DataFrame, column: str, pieces: int) -> list[float]:
+    """Values that cut `column` into `pieces` ranges of like size.
+
+    Any cut points give the same results; they only spread the work, so a few
+    hundred values for each piece are enough to find them. Sketches over all rows
+    would send megabytes from every task to one.
+    """
+    values = df.select(F.col(column).cast("double").alias("v"))
+    share = min(1.0, _LOOK_PER_PIECE * pieces / max(1, df.count()))
+    if share < 1.0:
+        values = values.sample(share, seed=42)
+    steps = [i / pieces for i in range(1, pieces)]
+    found = values.agg(F.percentile_approx("v", steps, 10 * pieces)).first()[0]
+    return sorted({cut for cut in found or [] if cut is not None})
+
+
 def with_pieces(df: DataFrame, column: str, pieces: int | None = None) -> DataFrame:
     """Add the number of the value range that `column` falls into."""
-    pieces = pieces or parallel_pieces(df.sparkSession)
-    steps = [i / pieces for i in range(1, pieces)]
-    cuts = df.agg(F.percentile_approx(F.col(column).cast("double"), steps, 10 * max(pieces, 1000))).first()[0]
-    inner = sorted({cut for cut in cuts or [] if cut is not None})
-    splits = [float("-inf"), *inner, float("inf")]
-    if len(splits) < 3:
+    cuts = cut_points(df, column, pieces or parallel_pieces(df.sparkSession))
+    if not cuts:
         return df.withColumn(_PIECE, F.lit(0.0))
+    splits = [float("-inf"), *cuts, float("inf")]
     place = Bucketizer(splits=splits, inputCol="__at", outputCol=_PIECE, handleInvalid="keep")
     return place.transform(df.withColumn("__at", F.col(column).cast("double"))).drop("__at")
 
@@ -53,7 +68,7 @@ def running_sum(
     """Running sum of `sums[name]` under `name`, in `order` inside each `part`.
 
     A missing value stays missing and later rows continue the sum. `totals` asks
-    for the sum over the whole part beside each row. `df` is read three times:
+    for the sum over the whole part beside each row. `df` is read several times:
     pass a stored or staged table.
     """
     blocked = with_pieces(df, order[-1], pieces)
