@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from lapwise.ml.score import score
 from lapwise.ml.train import load_model, save_model
-from lapwise.plans.build import build, reports
+from lapwise.plans.build import LAYOUT, build, reports
 from lapwise.plans.training import train_classified_position, train_position, train_winner
 from lapwise.sources.reports import write_report
 from lapwise.sources.tables import write_table
@@ -29,6 +29,7 @@ def main() -> None:
     one.add_argument("root")
     one.add_argument("out")
     one.add_argument("--format", default="csv")
+    one.add_argument("--layout", default=LAYOUT)
     two = commands.add_parser("report", help="report tables from built datasets")
     two.add_argument("out")
     three = commands.add_parser("train", help="search, fit and evaluate a model")
@@ -44,7 +45,7 @@ def main() -> None:
     spark = SparkSession.builder.appName("lapwise").getOrCreate()
 
     if options.command == "build":
-        build(spark, options.root, options.out, options.format)
+        build(spark, options.root, options.out, options.format, options.layout)
     elif options.command == "report":
         for name, table in reports(spark.read.parquet(f"{options.out}/full")).items():
             write_table(table, f"{options.out}/reports/{name}")

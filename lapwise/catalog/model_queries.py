@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lapwise.catalog.registry import query
 from lapwise.catalog.standins import duck, selected, table
+from lapwise.ml.evaluate import evaluate
 from lapwise.ml.prep import build_preprocessor, encode_label, feature_names
 from lapwise.ml.split import stratified_split
 from lapwise.ml.train import (
-    feature_importance, permutation_importance, position_model, predictions, random_search, winner_model,
+    feature_importance, permutation_importance, position_model, predictions, random_search, winner_model, with_shuffled,
 )
 from lapwise.operators.evaluation import (
     auc, class_weight, classification_report, confusion_matrix, mean_of_first, ovr_auc, roc_points, split_sizes,
@@ -177,9 +179,7 @@ TEXTS, NUMBERS = ["priority", "status"], ["price", "month", "entrant", "grid"]
 def _encoded(spark, folder, label):
     rows = stratified_split(selected(table(spark, folder, "orders"), ENTRIES), label, ["EntryId"])
     rows = stage(rows, "entries")
-    texted = rows.withColumn(label, F.col(label).cast("string"))
-    indexer = encode_label(texted, label)
-    labelled = indexer.transform(texted)
+    labelled = encode_label(rows, label).transform(rows.withColumn(label, F.col(label).cast("string")))
     train = labelled.filter("split = 'train'")
     encoder = build_preprocessor(train, TEXTS, NUMBERS).fit(train)
     encoded = stage(encoder.transform(labelled).select("EntryId", "label", "split", "features"), "encoded")
@@ -193,6 +193,119 @@ def _winner(spark, folder):
     return labelled, encoder, weighed, model
 
 
+NUMBER_SQL = {n: f"({n} - avg({n}) OVER ()) / stddev_pop({n}) OVER ()" for n in NUMBERS}
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+STATUSES = ("F", "O", "P")
+
+
+@query(
+    "encoded_features",
+    f"""WITH entries AS (SELECT {duck(ENTRIES)} FROM orders)
+    SELECT EntryId,
+        {", ".join(f"CAST(CAST(priority = '{v}' AS INT) AS DOUBLE) AS f{i}" for i, v in enumerate(PRIORITIES))},
+        {", ".join(f"CAST(CAST(status = '{v}' AS INT) AS DOUBLE) AS f{i + 5}" for i, v in enumerate(STATUSES))},
+        {", ".join(f"round({rule}, 6) AS f{i + 8}" for i, rule in enumerate(NUMBER_SQL.values()))}
+    FROM entries""",
+)
+def encoded_features(spark, folder):
+    """One-hot text in text order, then numbers scaled by their population deviation."""
+    entries = selected(table(spark, folder, "orders"), ENTRIES)
+    encoded = build_preprocessor(entries, TEXTS, NUMBERS).fit(entries).transform(entries)
+    values = encoded.select("EntryId", vector_to_array("features").alias("f"))
+    width = len(PRIORITIES) + len(STATUSES) + len(NUMBERS)
+    # Adding 0.0 turns a negative zero into a plain one.
+    return values.select("EntryId", *[(F.round(F.col("f")[i], 6) + 0.0).alias(f"f{i}") for i in range(width)])
+
+
+@query(
+    "unseen_category",
+    f"""WITH entries AS (SELECT {duck(ENTRIES)} FROM orders)
+    SELECT EntryId, {", ".join(
+        f"CAST(CAST(priority = '{v}' AND status <> 'P' AS INT) AS DOUBLE) AS f{i}" for i, v in enumerate(PRIORITIES))}
+    FROM entries""",
+)
+def unseen_category(spark, folder):
+    """A category that was not there when the encoder was made becomes all zeros."""
+    entries = selected(table(spark, folder, "orders"), ENTRIES)
+    encoder = build_preprocessor(entries, ["priority"], []).fit(entries)
+    renamed = entries.withColumn("priority", F.when(F.col("status") == "P", "6-NEW").otherwise(F.col("priority")))
+    values = encoder.transform(renamed).select("EntryId", vector_to_array("features").alias("f"))
+    return values.select("EntryId", *[F.col("f")[i].alias(f"f{i}") for i in range(len(PRIORITIES))])
+
+
+@query(
+    "encoded_label",
+    """WITH entries AS (SELECT o_orderkey AS EntryId, CAST(o_custkey % 12 AS VARCHAR) AS place FROM orders)
+    SELECT EntryId, place, CAST(dense_rank() OVER (ORDER BY place) - 1 AS DOUBLE) AS label FROM entries""",
+)
+def encoded_label(spark, folder):
+    """Class numbers in text order: 0, 1, 10, 11, 2."""
+    place = (F.col("o_custkey") % 12).cast("string")
+    entries = table(spark, folder, "orders").select(F.col("o_orderkey").alias("EntryId"), place.alias("place"))
+    return encode_label(entries, "place").transform(entries)
+
+
+@query(
+    "class_weighted_rows",
+    f"""{SCORED_SQL}, w AS (SELECT count(*) FILTER (WHERE label = 0) / count(*) FILTER (WHERE label = 1) AS balance FROM scored)
+    SELECT EntryId, label, CASE WHEN label = 1 THEN balance ELSE 1.0 END AS weight FROM scored, w""",
+)
+def weighted_rows(spark, folder):
+    return with_class_weight(_scored(spark, folder), "label").select("EntryId", "label", "weight")
+
+
+@query(
+    "shuffled_column",
+    "SELECT o_orderpriority AS priority, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS entrants FROM orders GROUP BY ALL",
+)
+def shuffled_column(spark, folder):
+    """Every value is still there as often as before, and each column is moved as a whole."""
+    entries = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_custkey")
+    moved = with_shuffled(entries, ["o_orderpriority", "o_custkey"], ["o_orderkey"])
+    priority = F.col("__shuffled_o_orderpriority").alias("priority")
+    return moved.groupBy(priority).agg(
+        F.count("*").alias("n"), F.sum("__shuffled_o_custkey").alias("entrants")
+    )
+
+
+@query(
+    "model_metrics",
+    f"""{SPLIT_SQL}, rated AS (SELECT split.split, scored.label, scored.prediction, scored.score
+        FROM split JOIN scored USING (EntryId)),
+    cells AS (SELECT split, label, prediction, count(*) AS n FROM rated GROUP BY ALL),
+    sides AS (SELECT split, c, sum(n) FILTER (WHERE label = c) AS support, sum(n) FILTER (WHERE prediction = c) AS named,
+        sum(n) FILTER (WHERE label = c AND prediction = c) AS hits FROM cells, (SELECT unnest([0, 1]) AS c) GROUP BY split, c),
+    each AS (SELECT split, c || '.0' AS class, hits / named AS precision, hits / support AS recall,
+        2 * hits / (named + support) AS f1, support, hits FROM sides),
+    report AS (SELECT split, class, precision, recall, f1, support FROM each
+      UNION ALL SELECT split, 'accuracy', sum(hits) / sum(support), sum(hits) / sum(support), sum(hits) / sum(support),
+        sum(support) FROM each GROUP BY split
+      UNION ALL SELECT split, 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM each GROUP BY split
+      UNION ALL SELECT split, 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+        sum(f1 * support) / sum(support), sum(support) FROM each GROUP BY split),
+    ranks AS (SELECT split, label, rank() OVER (PARTITION BY split ORDER BY score)
+        + (count(*) OVER (PARTITION BY split, score) - 1) / 2.0 AS place FROM rated)
+    SELECT split, class || ':precision' AS metric, round(CAST(precision AS DOUBLE), 9) AS value FROM report
+    UNION ALL SELECT split, class || ':recall', round(CAST(recall AS DOUBLE), 9) FROM report
+    UNION ALL SELECT split, class || ':f1', round(CAST(f1 AS DOUBLE), 9) FROM report
+    UNION ALL SELECT split, class || ':support', CAST(support AS DOUBLE) FROM report
+    UNION ALL SELECT split, 'confusion:' || label || ':' || prediction, CAST(n AS DOUBLE) FROM cells
+    UNION ALL SELECT split, 'auc', round((sum(place) FILTER (WHERE label = 1)
+        - count(*) FILTER (WHERE label = 1) * (count(*) FILTER (WHERE label = 1) + 1) / 2.0)
+        / (CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) * count(*) FILTER (WHERE label = 0)), 9)
+      FROM ranks GROUP BY split""",
+)
+def model_metrics(spark, folder):
+    """Every metric of every set, for predictions by a fixed rule."""
+    scored = _scored(spark, folder).select("EntryId", "label", "prediction", "score")
+    parts = stratified_split(scored, "label", ["EntryId"])
+    rated = parts.select(
+        "split", F.col("label").cast("double").alias("label"), F.col("prediction").cast("double").alias("prediction"),
+        F.array(-F.col("score"), "score").alias("probabilities"),
+    )
+    return evaluate(stage(rated, "rated"), "label", ["0", "1"]).withColumn("value", F.round("value", 9))
+
+
 @query("winner_model_scores")
 def winner_scores(spark, folder):
     """Chance of winning for every entry, likeliest first."""

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from lapwise.operators.evaluation import auc, classification_report, confusion_counts, mean_of_first, ovr_auc
+from lapwise.session import stage
 
 
 def _long(df: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
@@ -23,7 +24,7 @@ def evaluate(scored: DataFrame, label: str, classes: Sequence, split: str = "spl
 
     `scored` has the label and prediction as class numbers and `probabilities`.
     With two classes the AUC is that of class 1, with more there is one for each
-    class against the rest and the mean over the first five in text order.
+    class against the rest and the mean over the first five classes.
     """
     by = [split]
     numbers = [float(i) for i in range(len(classes))]
@@ -38,10 +39,10 @@ def evaluate(scored: DataFrame, label: str, classes: Sequence, split: str = "spl
         one = scored.withColumn("__score", F.col("probabilities")[1])
         areas = auc(one, label, "__score", by).select(*by, F.lit("auc").alias("metric"), F.col("auc").alias("value"))
     else:
-        each = ovr_auc(scored, label, "probabilities", numbers, by)
+        each = stage(ovr_auc(scored, label, "probabilities", numbers, by), "class-auc")
+        mean = mean_of_first(each, 5, by).select(*by, F.lit("auc:mean5").alias("metric"), F.col("mean_auc").alias("value"))
         named = F.element_at(F.array(*[F.lit(str(c)) for c in classes]), F.col("class").cast("int") + 1)
         each = each.withColumn("class", named)
-        mean = mean_of_first(each, 5, by).select(*by, F.lit("auc:mean5").alias("metric"), F.col("mean_auc").alias("value"))
         areas = each.select(
             *by, F.concat_ws(":", F.lit("auc"), "class").alias("metric"), F.col("auc").alias("value")
         ).unionByName(mean)

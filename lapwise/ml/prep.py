@@ -13,6 +13,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
 
 from lapwise.operators.columns import select_required
+from lapwise.operators.reshape import known_values
 
 _NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -67,11 +68,17 @@ def columns_with_values(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if known[c] > 0]
 
 
-def encode_label(df: DataFrame, label: str, name: str = "label") -> StringIndexerModel:
-    """Class numbers in text order: 1, 10, 11, 2, R."""
-    as_text = df.withColumn(label, F.col(label).cast("string"))
-    indexer = StringIndexer(inputCol=label, outputCol=name, stringOrderType="alphabetAsc", handleInvalid="error")
-    return indexer.fit(as_text.select(label))
+def encode_label(df: DataFrame, label: str, name: str = "label", most: int = 1000) -> StringIndexerModel:
+    """Class numbers of a label read as text.
+
+    Text classes are numbered in text order (1, 10, 11, 2, R), number classes by size.
+    """
+    texts, _ = typed_columns(df.select(label))
+    values = known_values(df, label, most)
+    if not texts:
+        shown = df.sparkSession.createDataFrame([(v,) for v in values], df.select(label).schema)
+        values = [row[0] for row in shown.orderBy(label).select(F.col(label).cast("string")).collect()]
+    return StringIndexerModel.from_labels(values, inputCol=label, outputCol=name, handleInvalid="error")
 
 
 def build_preprocessor(

@@ -147,8 +147,8 @@ def ovr_auc(df: DataFrame, label: str, scores: str, classes: Sequence, by: Seque
 
 
 def mean_of_first(aucs: DataFrame, k: int = 5, by: Sequence[str] = ()) -> DataFrame:
-    """Mean AUC of the first `k` classes in text order; `aucs` has one row for each class."""
-    firsts = F.slice(F.array_sort(F.collect_list(F.struct(F.col("class").cast("string"), "auc"))), 1, k)
+    """Mean AUC of the first `k` classes in their own order; `aucs` has one row for each class."""
+    firsts = F.slice(F.array_sort(F.collect_list(F.struct("class", "auc"))), 1, k)
     values = F.transform(firsts, lambda row: row["auc"])
     total = F.aggregate(values, F.lit(0.0), lambda a, b: a + F.coalesce(b, F.lit(0.0)))
     return aucs.groupBy(*by).agg((total / F.size(F.filter(values, lambda v: v.isNotNull()))).alias("mean_auc"))

@@ -7,6 +7,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.sql import functions as F
 
 from lapwise.ml.evaluate import evaluate
+from lapwise.ml.prep import encode_label
 from lapwise.ml.split import stratified_split
 from lapwise.operators.evaluation import (
     auc, class_weight, classification_report, confusion_matrix, mean_of_first, ovr_auc, roc_points, split_sizes,
@@ -105,6 +106,13 @@ def test_split_does_not_depend_on_slots_or_partitions(spark):
     assert one != rows(stratified_split(df, "label", ["id"], seed=7))
 
 
+def test_labels_are_numbered_in_their_own_order(spark):
+    places = spark.createDataFrame([(v,) for v in (10.0, 2.0, 1.0, None)], "p double")
+    assert list(encode_label(places, "p").labels) == ["1.0", "2.0", "10.0"]
+    classified = spark.createDataFrame([(v,) for v in ("2", "R", "10", "1")], "p string")
+    assert list(encode_label(classified, "p").labels) == ["1", "10", "2", "R"]
+
+
 def test_class_weight(spark):
     df = spark.createDataFrame([(0,)] * 9 + [(1,)] * 3, "label int")
     assert tuple(class_weight(df, "label").first()) == (9, 3, 3.0)

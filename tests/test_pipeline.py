@@ -183,7 +183,7 @@ def test_position_models(built, trainer, source):
         "ComparativePace_Quali_Q1_ms", *(["ClassifiedPosition", "Points"] if source == "full" else []),
     )
     trained = trainer(slim, IDS, ORDER, draws=1, folds=2, space=SPACE)
-    assert len(trained.classes) == 8 and trained.classes == sorted(trained.classes)
+    assert len(trained.classes) == 8 and trained.classes[0] in ("1", "1.0")
     assert trained.metrics.filter("metric = 'auc:mean5'").count() == 3
 
 
