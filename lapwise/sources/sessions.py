@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from lapwise.sources.tables import read_table
 
 # Session tags.
 SESSION_TYPES = ("R", "Q", "FP1", "FP2", "FP3")
@@ -37,6 +40,26 @@ def union_sessions(tables: Iterable[DataFrame | None]) -> DataFrame | None:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), present)
 
 
+def load_sessions(
+    spark: SparkSession,
+    landed: Iterable[tuple[int, int, str, str]],
+    schema: Mapping[str, str],
+    fmt: str = "csv",
+) -> tuple[DataFrame | None, list[tuple[str, str]]]:
+    """Unite tables landed one file for each session, given as year, number, type and path.
+
+    A session that is absent or lacks a column is left out and listed with the
+    reason. One reading of many files is better where they carry their own tags.
+    """
+    tables, skipped = [], []
+    for year, number, kind, path in landed:
+        try:
+            tables.append(tag_session(read_table(spark, path, schema, fmt), year, number, kind))
+        except (AnalysisException, ValueError) as error:
+            skipped.append((path, str(error).splitlines()[0]))
+    return union_sessions(tables), skipped
+
+
 def flatten_record(df: DataFrame, record: str) -> DataFrame:
     """The fields of a struct column as columns."""
     return df.select(f"{record}.*")

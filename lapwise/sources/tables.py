@@ -29,8 +29,8 @@ def _typed(name: str, kind: str) -> Column:
 
 
 def _raw_text(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Every CSV column as text, under the names in the header."""
-    return spark.read.option("header", True).csv(list(paths))
+    """Every CSV column as text, under the names in the header, which all files must share."""
+    return spark.read.option("header", True).option("enforceSchema", False).csv(list(paths))
 
 
 def read_table(

@@ -3,7 +3,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from lapwise.sources.reports import write_report
-from lapwise.sources.sessions import flatten_record, non_empty, session_manifest, tag_session, union_sessions
+from lapwise.sources.sessions import flatten_record, load_sessions, non_empty, session_manifest, tag_session, union_sessions
 from lapwise.sources.tables import read_table, read_with_quarantine, write_table
 
 LAYOUT = {"Lap": "int", "Time": "duration", "Wet": "boolean", "Name": "string", "Speed": "double"}
@@ -24,6 +24,16 @@ def test_csv_text_becomes_typed_columns(spark, tmp_path):
         read_table(spark, path, {**LAYOUT, "Gear": "int"})
 
 
+def test_files_with_other_headers_are_not_mixed_up(spark, tmp_path):
+    one = land(tmp_path, "one.csv", "Lap,Name\n1,A\n")
+    two = land(tmp_path, "two.csv", "Name,Lap\nB,2\n")
+    layout = {"Lap": "int", "Name": "string"}
+    with pytest.raises(Exception, match="header"):
+        read_table(spark, [one, two], layout).collect()
+    both = union_sessions([read_table(spark, path, layout) for path in (one, two)])
+    assert rows(both) == [(1, "A"), (2, "B")]
+
+
 def test_only_selected_csv_columns_are_read(spark, tmp_path):
     path = land(tmp_path, "a.csv", "Name,Speed,Wet,Time,Lap\nVER,3.5,True,0 days 00:01:00,7\n")
     plan = read_table(spark, path, LAYOUT).select("Name")._jdf.queryExecution().executedPlan().toString()
@@ -63,6 +73,16 @@ def test_sessions_are_tagged_and_united(spark):
     assert non_empty(one) and not non_empty(None) and not non_empty(one.filter("a > 9"))
 
 
+def test_failing_sessions_are_left_out(spark, tmp_path):
+    good = land(tmp_path, "good.csv", "Lap,Name\n1,A\n")
+    poor = land(tmp_path, "poor.csv", "Lap\n1\n")
+    landed = [(2023, 1, "R", good), (2023, 2, "R", poor), (2023, 3, "R", str(tmp_path / "none.csv"))]
+    found, skipped = load_sessions(spark, landed, {"Lap": "int", "Name": "string"})
+    assert rows(found) == [(1, "A", 2023, 1, "R")]
+    assert [path.rsplit("/", 1)[1] for path, _ in skipped] == ["poor.csv", "none.csv"] and "Name" in skipped[0][1]
+    assert load_sessions(spark, landed[1:], {"Name": "string"})[0] is None
+
+
 def test_manifest_and_record(spark):
     schedule = spark.createDataFrame([(2023, 1.0), (2023, None), (2024, 2.0), (2022, 1.0)], "RACEYEAR int, RoundNumber double")
     assert rows(session_manifest(schedule, [2023, 2024], ["R", "Q"])) == [
