@@ -67,7 +67,7 @@ POINTS = f"""{with_views('results')}, run AS (
 )
 def driver_points(spark, folder):
     results = _results(spark, folder, *SESSION, "EntryId", "DriverId", "Points")
-    return A.points_over_time(results, "DriverId", "EntryId")
+    return A.points_over_time(results, "DriverId", ["EntryId"])
 
 
 @query(
@@ -79,7 +79,7 @@ def driver_points(spark, folder):
 )
 def team_points(spark, folder):
     results = _results(spark, folder, *SESSION, "EntryId", "TeamName", "Points")
-    points = A.points_over_time(results, "TeamName", "EntryId")
+    points = A.points_over_time(results, "TeamName", ["EntryId"])
     return A.points_table(points, "TeamName", TEAMS)
 
 
@@ -91,7 +91,7 @@ def team_points(spark, folder):
 )
 def team_points_end_of_race(spark, folder):
     results = _results(spark, folder, *SESSION, "EntryId", "TeamName", "Points")
-    return A.points_over_time(results, "TeamName", "EntryId", mode="end_of_race")
+    return A.points_over_time(results, "TeamName", ["EntryId"], mode="end_of_race")
 
 
 @query(

@@ -35,10 +35,14 @@ RACE = ("RACEYEAR", "RACENUMBER")
 
 
 def points_over_time(
-    full: DataFrame, entity: str, tie_break: str, mode: str = "mean", pieces: int | None = None
+    full: DataFrame, entity: str, tie_breaks: Sequence[str], mode: str = "mean", pieces: int | None = None
 ) -> DataFrame:
-    """Points gathered up to each race, in rows. `tie_break` is a number unique in the table."""
-    return mean_running_points(full, entity, [*RACE, tie_break], mode=mode, pieces=pieces)
+    """Points gathered up to each race, in rows.
+
+    `tie_breaks` put an entity's rows of one race in order; they hold no missing
+    values, and the last one is a number that no two rows of a race share.
+    """
+    return mean_running_points(full, entity, [*RACE, *tie_breaks], mode=mode, pieces=pieces)
 
 
 def points_table(points: DataFrame, entity: str, values: Sequence) -> DataFrame:

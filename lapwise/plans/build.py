@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lapwise.operators.reshape import known_values
 from lapwise.plans import analytics
@@ -25,10 +25,14 @@ QUALIFYING_TABLES = {**SESSION_TABLES, "results": schemas.QUALIFYING_RESULTS}
 def load(
     spark: SparkSession, root: str, session: str, tables: Mapping[str, Mapping], fmt: str = "csv", layout: str = LAYOUT
 ) -> dict[str, DataFrame]:
-    return {
+    """The typed tables of one kind of session. Laps are read twice, so lap text is parsed into a staged table."""
+    found = {
         table: read_table(spark, layout.format(root=root, session=session, table=table), schema, fmt)
         for table, schema in tables.items()
     }
+    if fmt == "csv":
+        found["laps"] = stage(found["laps"], f"{session}-laps")
+    return found
 
 
 def session_tables(spark: SparkSession, root: str, fmt: str = "csv", layout: str = LAYOUT) -> dict[str, DataFrame]:
@@ -61,25 +65,25 @@ def build(
     return stored
 
 
-def reports(full: DataFrame, tie_break: str = "DriverNumber") -> dict[str, DataFrame]:
-    """The nine report tables over the full dataset."""
+def reports(full: DataFrame) -> dict[str, DataFrame]:
+    """The nine report tables over the stored full dataset."""
     names = {entity: known_values(full, entity) for entity in ("DriverId", "TeamName", "Location")}
-    rows = stage(full, "report-base")
-    speeds = analytics.compound_speed_by_location(rows)
+    # A team's rows of one race count in the order of the finish.
+    placed = full.withColumn("__place", F.coalesce("Position", F.lit(float("inf"))))
     points = {
         entity: analytics.points_table(
-            analytics.points_over_time(rows, entity, tie_break), entity, names[entity]
+            analytics.points_over_time(placed, entity, ["__place", "DriverNumber"]), entity, names[entity]
         )
         for entity in ("DriverId", "TeamName")
     }
     return {
         "driver_points": points["DriverId"],
         "team_points": points["TeamName"],
-        "grid_and_finish": analytics.average_grid_and_finish(rows),
-        "speed_range": analytics.speed_range_by_location(speeds),
-        "weather_and_tyres": analytics.weather_and_tyres(rows),
-        "incidents": analytics.incidents_by_location(rows),
-        "track_structure": analytics.track_structure(rows),
-        "driver_profile": analytics.track_profile(rows, "DriverId", names["Location"]),
-        "team_profile": analytics.track_profile(rows, "TeamName", names["Location"]),
+        "grid_and_finish": analytics.average_grid_and_finish(full),
+        "speed_range": analytics.speed_range_by_location(analytics.compound_speed_by_location(full)),
+        "weather_and_tyres": analytics.weather_and_tyres(full),
+        "incidents": analytics.incidents_by_location(full),
+        "track_structure": analytics.track_structure(full),
+        "driver_profile": analytics.track_profile(full, "DriverId", names["Location"]),
+        "team_profile": analytics.track_profile(full, "TeamName", names["Location"]),
     }

@@ -67,7 +67,7 @@ def land(folder):
         for d, code in enumerate(DRIVERS):
             out = d == 7
             results.append((
-                d + 1, f"B {code}", code, f"id{d}", f"Team {d // 2}", f"t{d // 2}", "XXX", float(d + 1), "R" if out else d + 1,
+                8 - d, f"B {code}", code, f"id{d}", f"Team {d // 2}", f"t{d // 2}", "XXX", float(d + 1), "R" if out else d + 1,
                 float(d + 1), None if out else clock(5400000 + d * 1000), "Retired" if out else "Finished",
                 float(max(0, 25 - d * 4)), year, number,
             ))
@@ -96,7 +96,7 @@ def built(spark, tmp_path_factory):
 def test_race_rows(built):
     race = built["race"]
     assert race.count() == 64
-    first = race.filter("RACEYEAR = 2023 and RACENUMBER = 1").orderBy("DriverNumber").collect()
+    first = race.filter("RACEYEAR = 2023 and RACENUMBER = 1").orderBy("Position").collect()
     assert [r.IsWinnerFlag for r in first] == [1] + [0] * 7
     assert first[0].Racepace == 1.0 and first[1].Racepace == pytest.approx(5401 / 5400) and first[7].Racepace is None
     assert {r.WinnerDriver for r in first} == {"id0"}
