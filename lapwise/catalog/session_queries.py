@@ -161,8 +161,8 @@ def qualifying(spark, folder):
 def dataset(spark, folder):
     """All five session tables joined wide, with the pace of each driver against the best."""
     raw = _raw(spark, folder)
-    practice = {p: practice_table(raw, p) for p in ("FP1", "FP2", "FP3")}
-    quali = qualifying_table({**raw, "results": _quali_results(spark, folder)})
-    full = full_dataset(_race(spark, folder), quali, practice)
+    practice = {p: stage(practice_table(raw, p), p) for p in ("FP1", "FP2", "FP3")}
+    quali = stage(qualifying_table({**raw, "results": _quali_results(spark, folder)}), "qualifying")
+    full = full_dataset(stage(_race(spark, folder), "race"), quali, practice)
     kept = [f"ComparativePace_{c}" for c in COMPARED if c in ("FP1_FastestFullLapTime_ms", "FP3_FastestSector1Time_ms", "Quali_Q1_ms")]
     return before_race_dataset(full).select(*SESSION, "EntryId", *kept)

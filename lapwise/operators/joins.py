@@ -129,7 +129,8 @@ def compare_to_group(
 ) -> DataFrame:
     """Each value over the smallest of its group.
 
-    `rows` is read twice: pass a staged table. The minimum is aggregated before it
+    `rows` is read twice: pass a table whose few compared columns are cheap to read
+    again, stored or staged. The minimum is aggregated before it
     is shuffled, so a hot group never meets in one task as a window over it would.
     """
     best = rows.groupBy(*keys).agg(*[F.min(c).alias(best_prefix + c) for c in columns])

@@ -10,7 +10,6 @@ from lapwise.keys import SESSION
 from lapwise.operators.columns import add_prefix, drop_if_present, drop_matching, leakage_guard
 from lapwise.operators.joins import compare_to_group, wide_join
 from lapwise.operators.summaries import COMPOUNDS, MESSAGES, WEATHER_STATS
-from lapwise.session import stage
 
 PRACTICES = ("FP1", "FP2", "FP3")
 
@@ -44,13 +43,12 @@ def _clean_practice(table: DataFrame, session: str) -> DataFrame:
     return drop_matching(drop_if_present(add_prefix(table, f"{session}_"), [f"{session}_Unnamed: 0"]), "UNKNOWN")
 
 
-def full_dataset(
-    race: DataFrame, qualifying: DataFrame, practice: Mapping[str, DataFrame], staged: bool = True
-) -> DataFrame:
+def full_dataset(race: DataFrame, qualifying: DataFrame, practice: Mapping[str, DataFrame]) -> DataFrame:
     """Race rows with practice and qualifying columns and each driver's pace against the best.
 
-    The wide rows are read twice to find the best and compare with it, so they are
-    staged first: the sessions behind them are aggregated once.
+    Pass stored session tables. They are read twice, once whole and once for the few
+    columns whose best is sought; staging the several hundred joined columns instead
+    would write and read them all.
     """
     base_keys = [*SESSION, "Abbreviation"]
     qualifying = drop_if_present(qualifying, ["Unnamed: 0", "Position", "Driver"])
@@ -59,8 +57,6 @@ def full_dataset(
         (_clean_practice(practice[p], p), base_keys, [f"{p}_{k}" for k in (*SESSION, "Driver")]) for p in PRACTICES
     ]
     wide = wide_join(race, [*sides, (qualifying, base_keys, base_keys)])
-    if staged:
-        wide = stage(wide, "wide")
     compared = compare_to_group(wide, COMPARED, SESSION, spread_by=["Abbreviation"])
     return drop_if_present(
         compared,
