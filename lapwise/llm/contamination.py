@@ -196,3 +196,10 @@ def contaminated(found: DataFrame) -> DataFrame:
     return found.withColumn("n_hit", hit).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
     )
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **settings) -> DataFrame:
+    """The rows of `docs` that are not contaminated, with all their columns, without a shuffle of texts."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
+    found = contaminated(contamination(rows, benchmark, id_col="row", **settings))
+    return found.where(~F.col("contaminated")).select("row.*")

@@ -292,3 +292,18 @@ def near_duplicates(
         F.col("id").alias(id_col), F.col("key").alias("text_key"), F.col("class.id").alias("class_id"),
         (F.col("id").eqNullSafe(F.col("class.id")) & (F.col("key") == F.col("class.key"))).alias("kept"),
     )
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """One row of each class of near-duplicates, that of the least id, with all its columns.
+
+    Of rows that share id and text one stays.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **settings)
+    found = stage(found.where("kept").groupBy(F.col(id_col).alias("__id"), F.col("text_key").alias("__key")).count(), "kept")
+    keyed = docs.withColumn("__own", digest(F.col(text_col)))
+    same = keyed[id_col].eqNullSafe(found["__id"]) & (keyed["__own"] == found["__key"])
+    kept = keyed.join(found, same)
+    if not found.where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["__id", "__key"])
+    return kept.select(*docs.columns)

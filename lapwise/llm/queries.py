@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lapwise.catalog.registry import query
-from lapwise.llm import contamination, packing, pii, sharding, urls
+from lapwise.llm import contamination, neardup, packing, pii, sharding, toxicity, urls
 from lapwise.llm.common import table
 
 #: Name of the vocabulary file of the packing query.
@@ -45,6 +45,12 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return toxicity.toxicity(documents, documents, table(spark, folder, "labels"))
+
+
 _URL_CHECK = """
     WITH cut AS (
         SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
@@ -88,3 +94,15 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", *[count(kind) for kind in _BASE],
         F.sha2(pii.listed("found", _BASE), 256).alias("base_sha256"), pii.listed("found").alias("spans"),
     )
+
+
+@query("op10_near_duplicates")
+def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "kept")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
