@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lapwise.catalog.registry import query
-from lapwise.llm import contamination, neardup, packing, pii, sharding, toxicity, urls
+from lapwise.llm import contamination, language, neardup, packing, pii, sharding, toxicity, urls
 from lapwise.llm.common import table
 
 #: Name of the vocabulary file of the packing query.
@@ -80,6 +80,16 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge_urls(table(spark, folder, "pages"))
 
 
+@query("op7_language")
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    fold = F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5, F.lit(1))
+    learned = language.language_tables(documents.where(fold != 0))
+    found = language.identify_languages(documents.select(F.struct("doc_id", (fold == 0).alias("held_out")).alias("row"), "text"),
+                                        learned, id_col="row")
+    return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
 _BASE = ("email", "ip", "card", "phone")
 
 
