@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lapwise.catalog.registry import query
-from lapwise.llm import contamination, language, neardup, packing, pii, sharding, toxicity, urls
+from lapwise.llm import contamination, language, neardup, neighbours, packing, pii, sharding, toxicity, urls
 from lapwise.llm.common import table
 
 #: Name of the vocabulary file of the packing query.
@@ -106,6 +106,11 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op9_neighbours")
+def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"))
+
+
 @query("op10_near_duplicates")
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "kept")
