@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lapwise.catalog.registry import query
-from lapwise.llm import contamination, language, neardup, neighbours, packing, pii, sharding, toxicity, urls
+from lapwise.llm import contamination, language, neardup, neighbours, packing, pii, repeats, sharding, toxicity, urls
 from lapwise.llm.common import table
 
 #: Name of the vocabulary file of the packing query.
@@ -51,6 +51,16 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(documents, documents, table(spark, folder, "labels"))
 
 
+@query("op5_repeats")
+def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 _URL_CHECK = """
     WITH cut AS (
         SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
