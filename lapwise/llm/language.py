@@ -57,7 +57,7 @@ def language_tables(
         for label, total in totals.items():
             place = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([label] * len(place)), pa.array(place, pa.int32()), pa.array(total[place])],
+                [pa.array([label] * len(place), pa.string()), pa.array(place, pa.int32()), pa.array(total[place])],
                 names=["lang", "bucket", "n"],
             )
 
