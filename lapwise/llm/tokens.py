@@ -7,8 +7,8 @@ from collections.abc import Sequence
 
 import numpy as np
 
-#: Blank-separated chunks kept by one worker; beyond that the store starts anew.
-KEPT_CHUNKS = 400_000
+#: Blank-separated chunks kept by one worker; beyond that it forgets those that only one lot of texts had.
+KEPT_CHUNKS = 700_000
 # White space beside blanks and line ends.
 _SPACES = "".join(map(chr, (
     0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
@@ -43,6 +43,7 @@ class Encoder:
         for number in range(size):
             self._opens[number] = (self._tokenizer.id_to_token(number) or "").startswith("Ġ")
         self._chunks: dict[str, bytes] = {}
+        self._once: set[str] = set()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -63,15 +64,20 @@ class Encoder:
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         if len(self._chunks) > KEPT_CHUNKS:
-            self._chunks.clear()
+            self._chunks = {c: ids for c, ids in self._chunks.items() if c not in self._once}
+            if len(self._chunks) > KEPT_CHUNKS // 4 * 3:
+                self._chunks.clear()
+            self._once.clear()
         cut = [None if _ODD.search(t) or t[:1] == " " or t[-1:] == " " else t.split(" ") for t in texts]
         known = self._chunks
-        new = set()
+        used = set()
         for chunks in cut:
             if chunks is not None:
-                new.update(chunks[1:])
-        new.difference_update(known)
-        self._learn(sorted(new))
+                used.update(chunks[1:])
+        new = used.difference(known)
+        self._once.difference_update(used)
+        self._once |= new
+        self._learn(list(new))
         get = known.__getitem__
         return [
             self._whole(text) if chunks is None else self._whole(chunks[0]) + b"".join(map(get, chunks[1:]))
