@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lapwise.functions.values import ratio, row_sum, zero_as_null
 from lapwise.operators.columns import sorted_by
-from lapwise.operators.correlation import correlation_table
+from lapwise.operators.correlation import correlation_table, target_correlation_table
 from lapwise.operators.reshape import column_ends, melt, pivot_mean, scaled
 from lapwise.operators.running import mean_running_points
 from lapwise.operators.summaries import MESSAGES
@@ -91,7 +91,7 @@ def speed_range_by_location(speeds: DataFrame) -> DataFrame:
 def target_correlations(df: DataFrame, target: str) -> DataFrame:
     """Correlation of every number column with one target."""
     numbers = [n for n, kind in df.dtypes if kind in ("int", "bigint", "double", "float") and n != target]
-    return correlation_table(df, numbers, [target])
+    return target_correlation_table(df, numbers, target)
 
 
 def weather_and_tyres(full: DataFrame) -> DataFrame:
