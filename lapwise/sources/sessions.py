@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lapwise.sources.tables import read_table
+from lapwise.sources.tables import csv_lines, parsed_lines, read_table, typed
 
 # Session tags.
 SESSION_TYPES = ("R", "Q", "FP1", "FP2", "FP3")
@@ -46,11 +47,13 @@ def load_sessions(
     schema: Mapping[str, str],
     fmt: str = "csv",
 ) -> tuple[DataFrame | None, list[tuple[str, str]]]:
-    """Unite tables landed one file for each session, given as year, number, type and path.
+    """Unite tables landed as one file or folder for each session, given as year, number, type and path.
 
     A session that is absent or lacks a column is left out and listed with the
-    reason. One reading of many files is better where they carry their own tags.
+    reason. CSV sessions are read together: a line finds its tags by its file.
     """
+    if fmt == "csv":
+        return _load_csv(spark, list(landed), schema)
     tables, skipped = [], []
     for year, number, kind, path in landed:
         try:
@@ -60,6 +63,45 @@ def load_sessions(
     return union_sessions(tables), skipped
 
 
+def _load_csv(spark: SparkSession, landed: list[tuple[int, int, str, str]], schema: Mapping[str, str]):
+    context = spark.sparkContext
+    skipped, there = [], []
+    for year, number, kind, path in landed:
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        if place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place):
+            there.append((year, number, kind, path, place.toUri().getPath()))
+        else:
+            skipped.append((path, "not found"))
+    if not there:
+        return None, skipped
+    tags = spark.createDataFrame(there, "RACEYEAR int, RACENUMBER int, SESSIONTYPE string, path string, place string")
+    lines, headers = csv_lines(spark, [t[3] for t in there])
+    # a file is known by its own path or by its folder's
+    plain = F.regexp_replace(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))), "^[A-Za-z0-9]+:(//[^/]*)?/*", "/")
+    places = F.explode(F.array("plain", F.regexp_replace("plain", "/[^/]*$", "")))
+    of_file = (
+        headers.withColumn("plain", plain).select("file", "header", places.alias("place")).join(tags, "place").drop("place")
+    )
+    tables, complete = [], []
+    for (header,) in sorted(headers.select("header").distinct().collect()):
+        if set(schema) <= set(next(csv.reader([header]))):
+            complete.append(header)
+            own = of_file.select(F.col("file").alias("__file"), F.struct("RACEYEAR", "RACENUMBER", "SESSIONTYPE").alias("__tags"))
+            rows = parsed_lines(lines, header).join(own, "__file")
+            tables.append(rows.select(*[typed(name, kind).alias(name) for name, kind in schema.items()], "__tags.*"))
+    whole = of_file.where(F.col("header").isin(complete)).select("path").distinct() if complete else None
+    found = {r[0] for r in whole.collect()} if whole else set()
+    lacking = {r["path"]: r["header"] for r in of_file.select("path", "header").distinct().collect() if r["path"] not in found}
+    for *_, path, _ in there:
+        if path in lacking:
+            absent = [name for name in schema if name not in next(csv.reader([lacking[path]]))]
+            skipped.append((path, f"missing required columns: {', '.join(absent)}"))
+        elif path not in found:
+            skipped.append((path, "no header"))
+    order = {path: place for place, (*_, path) in enumerate(landed)}
+    return union_sessions(tables), sorted(skipped, key=lambda s: order[s[0]])
+
+
 def flatten_record(df: DataFrame, record: str) -> DataFrame:
     """The fields of a struct column as columns."""
     return df.select(f"{record}.*")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -14,7 +15,7 @@ from lapwise.operators.columns import missing_columns, select_required
 _CORRUPT = "__corrupt"
 
 
-def _typed(name: str, kind: str) -> Column:
+def typed(name: str, kind: str) -> Column:
     text = text_or_null(name)
     if kind == "duration":
         return duration_ms(text)
@@ -23,8 +24,9 @@ def _typed(name: str, kind: str) -> Column:
     if kind == "double":
         return number_or_null(text.try_cast("double"))
     if kind == "int":
-        # Whole numbers that were stored beside missing values read `7.0`.
-        return text.try_cast("double").try_cast("int")
+        # Whole numbers that were stored beside missing values read `7.0`; `7.9` is not one.
+        number = text.try_cast("double")
+        return F.when(number == F.floor(number), number.try_cast("int"))
     return text.try_cast(kind)
 
 
@@ -44,7 +46,7 @@ def read_table(
     paths = [path] if isinstance(path, str) else list(path)
     if fmt == "csv":
         raw = select_required(_raw_text(spark, paths), list(schema))
-        return raw.select(*[_typed(name, kind).alias(name) for name, kind in schema.items()])
+        return raw.select(*[typed(name, kind).alias(name) for name, kind in schema.items()])
     stored = select_required(spark.read.format(fmt).load(paths), list(schema))
     return stored.select(*[_stored(stored, name, kind).alias(name) for name, kind in schema.items()])
 
@@ -60,41 +62,67 @@ def _stored(df: DataFrame, name: str, kind: str) -> Column:
     return F.col(name).try_cast(kind)
 
 
+def csv_lines(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The lines of CSV files with their file and its header, and one row for each file and header.
+
+    Unreadable and vanished files are passed over. Blank lines, and lines that
+    repeat the header, are no rows.
+    """
+    lines = (
+        spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).text(list(paths))
+        .select(
+            F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+            F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place")).alias("at"),
+        )
+        .where(F.trim("line") != "")
+    )
+    headers = lines.groupBy("file").agg(F.min_by("line", "at").alias("header"))
+    return lines.drop("at").join(headers, "file").where("line <> header"), headers
+
+
+def parsed_lines(lines: DataFrame, header: str) -> DataFrame:
+    """Lines under one header: their fields as text, `__file`, `__line` and `__fits` (the right number of fields)."""
+    names = next(csv.reader([header]))
+    layout = ", ".join(f"`{name}` string" for name in [*names, _CORRUPT])
+    fields = F.from_csv("line", F.lit(layout), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    parsed = lines.where(F.col("header") == header).select("file", "line", fields.alias("fields"))
+    return parsed.select(
+        F.col("file").alias("__file"), F.col("line").alias("__line"), F.col(f"fields.{_CORRUPT}").isNull().alias("__fits"),
+        *[F.col(f"fields.`{name}`").alias(name) for name in names],
+    )
+
+
 def read_with_quarantine(
     spark: SparkSession, paths: Sequence[str], schema: Mapping[str, str]
 ) -> tuple[DataFrame, DataFrame]:
     """Typed good rows, and the source line and file of rows that do not fit.
 
     A row is bad when it has the wrong number of fields or holds text that is
-    neither missing nor of its column's type. Unreadable and vanished files are
-    passed over, so one broken session does not stop the load.
+    neither missing nor of its column's type, and so is every row of a file whose
+    header lacks a column. Fields go by the name in their own file's header. If no
+    file has all columns that is an error.
     """
-    header = _raw_text(spark, paths).columns
-    absent = [name for name in schema if name not in header]
-    if absent:
-        raise ValueError(f"missing required columns: {', '.join(absent)}")
-    layout = ", ".join(f"`{name}` string" for name in [*header, _CORRUPT])
-    raw = (
-        spark.read.option("header", True)
-        .option("mode", "PERMISSIVE")
-        # A pruned parse does not count the fields of a line.
-        .option("columnPruning", False)
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("ignoreCorruptFiles", True)
-        .option("ignoreMissingFiles", True)
-        .schema(layout)
-        .csv(list(paths))
-    )
-    misfits = [
-        text_or_null(name).isNotNull() & _typed(name, kind).isNull()
-        for name, kind in schema.items()
-        if kind != "string"
-    ]
-    bad = F.col(_CORRUPT).isNotNull() | reduce(lambda a, b: a | b, misfits, F.lit(False))
-    good_rows = raw.filter(~bad).select(*[_typed(name, kind).alias(name) for name, kind in schema.items()])
-    line = F.coalesce(F.col(_CORRUPT), F.concat_ws(",", *[F.col(f"`{name}`") for name in header]))
-    bad_rows = raw.filter(bad).select(F.input_file_name().alias("file"), line.alias("line"))
-    return good_rows, bad_rows
+    lines, headers = csv_lines(spark, paths)
+    good, bad = [], []
+    lacking: list[str] = []
+    for (header,) in sorted(headers.select("header").distinct().collect()):
+        absent = [name for name in schema if name not in next(csv.reader([header]))]
+        if absent:
+            lacking += absent
+            bad.append(lines.where(F.col("header") == header).select("file", "line"))
+            continue
+        rows = parsed_lines(lines, header)
+        misfits = [
+            text_or_null(name).isNotNull() & typed(name, kind).isNull()
+            for name, kind in schema.items()
+            if kind != "string"
+        ]
+        wrong = ~F.col("__fits") | reduce(lambda a, b: a | b, misfits, F.lit(False))
+        good.append(rows.where(~wrong).select(*[typed(n, kind).alias(n) for n, kind in schema.items()]))
+        bad.append(rows.where(wrong).select(F.col("__file").alias("file"), F.col("__line").alias("line")))
+    if not good:
+        raise ValueError(f"missing required columns: {', '.join(dict.fromkeys(lacking or schema))}")
+    return reduce(DataFrame.unionByName, good), reduce(DataFrame.unionByName, bad)
 
 
 def write_table(

@@ -49,6 +49,26 @@ def test_bad_rows_and_lost_files_are_set_aside(spark, tmp_path):
     assert bad.count() == 3 and bad.filter(F.col("file").endswith("two.csv")).count() == 2
 
 
+def test_fields_go_by_the_header_of_their_own_file(spark, tmp_path):
+    one = land(tmp_path, "a.csv", "x,y,s\n1,2,a\nbad,,z\n7.9,1,q\n")
+    two = land(tmp_path, "b.csv", "y,x,s\n20,10,b\n")
+    three = land(tmp_path, "c.csv", "y,s\n5,c\n")
+    good, bad = read_with_quarantine(spark, [one, two, three], {"x": "int", "y": "int", "s": "string"})
+    assert rows(good) == [(1, 2, "a"), (10, 20, "b")]
+    assert rows(bad, "line") == [("5,c",), ("7.9,1,q",), ("bad,,z",)]
+    with pytest.raises(ValueError, match="x"):
+        read_with_quarantine(spark, [three], {"x": "int"})
+
+
+def test_sessions_of_any_header_are_read_together(spark, tmp_path):
+    (tmp_path / "a folder+1").mkdir()
+    one = land(tmp_path, "one.csv", "Lap,Name\n1,A\n")
+    land(tmp_path / "a folder+1", "part.csv", "Name,Lap\nB,2\n")
+    landed = [(2023, 1, "R", one), (2024, 2, "Q", str(tmp_path / "a folder+1"))]
+    found, skipped = load_sessions(spark, landed, {"Lap": "int", "Name": "string"})
+    assert rows(found) == [(1, "A", 2023, 1, "R"), (2, "B", 2024, 2, "Q")] and skipped == []
+
+
 def test_tables_come_back_as_written(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", 2.5), (2, None, None)], "RACEYEAR int, s string, v double")
     write_table(df, str(tmp_path / "p"), partition_by=["RACEYEAR"])
