@@ -15,7 +15,7 @@ from lapwise.ml.train import (
     feature_importance, permutation_importance, position_model, predictions, random_search, winner_model, with_shuffled,
 )
 from lapwise.operators.evaluation import (
-    auc, class_weight, classification_report, confusion_matrix, mean_of_first, ovr_auc, roc_points, split_sizes,
+    auc, class_weight, classification_report, confusion_matrix, losses, mean_of_first, ovr_auc, roc_points, split_sizes,
     with_class_weight,
 )
 from lapwise.session import stage
@@ -344,3 +344,103 @@ def searched(spark, folder):
     train = encoded.filter("split = 'train'")
     _, scores = random_search(winner_model(weight=None), train, space, n=2, folds=2)
     return scores
+
+
+# A label that one column decides: what a tree model makes of it is known exactly.
+DECIDED = f"""SELECT EntryId, grid, CASE WHEN grid < 7 THEN 1 ELSE 0 END AS winner, place FROM (SELECT {duck(ENTRIES)} FROM orders)"""
+#: Trees in the models of these queries; draws and folds of the search are the operators' own.
+TREES = 3
+
+
+def _decided(spark, folder):
+    """Encoded entries with `winner` decided by `grid`, and a column that is the same everywhere."""
+    entries = selected(table(spark, folder, "orders"), ENTRIES).withColumn("winner", (F.col("grid") < 7).cast("int"))
+    rows = stage(stratified_split(entries.withColumn("same", F.lit(1.0)), "winner", ["EntryId"]), "decided")
+    numbers = [*NUMBERS, "same"]
+    labelled = rows.withColumn("label", F.col("winner").cast("double"))
+    train = labelled.filter("split = 'train'")
+    encoder = build_preprocessor(train, TEXTS, numbers).fit(train)
+    encoded = stage(encoder.transform(labelled).select("EntryId", "label", "split", "features"), "decided-features")
+    model = winner_model(weight=None, maxIter=TREES, maxDepth=3).fit(encoded.filter("split = 'train'"))
+    return labelled, encoder, encoded, model, numbers
+
+
+@query("threshold_winner", f"SELECT EntryId, winner, winner AS predicted, winner AS likely FROM ({DECIDED})")
+def threshold_winner(spark, folder):
+    """A winner that one threshold tells is predicted without an error, in all three sets."""
+    _, _, encoded, model, _ = _decided(spark, folder)
+    scored = predictions(model, encoded, ["EntryId", "label"])
+    return scored.select(
+        "EntryId", F.col("label").cast("int").alias("winner"), F.col("prediction").cast("int").alias("predicted"),
+        (F.col("probabilities")[1] > 0.5).cast("int").alias("likely"),
+    )
+
+
+@query(
+    "threshold_importance",
+    "SELECT * FROM (VALUES ('grid', 1.0), ('month', 0.0), ('same', 0.0), ('total', 1.0)) AS v(feature, importance)",
+)
+def threshold_importance(spark, folder):
+    """Importances sum to 1; the deciding column has all of it, an unused and a constant one none."""
+    _, encoder, _, model, numbers = _decided(spark, folder)
+    found = feature_importance(spark, model, feature_names(encoder, TEXTS, numbers, model.numFeatures))
+    total = found.agg(F.lit("total").alias("feature"), F.sum("importance").alias("importance"))
+    shown = found.where(F.col("feature").isin("grid", "month", "same")).unionByName(total)
+    return shown.select("feature", F.round("importance", 9).cast("decimal(2,1)").alias("importance"))
+
+
+@query(
+    "threshold_permutation",
+    "SELECT * FROM (VALUES ('grid', true, false), ('month', false, true), ('status', false, true)) AS v(\"column\", falls, unmoved)",
+)
+def threshold_permutation(spark, folder):
+    """Shuffling the deciding column costs much, shuffling an unused one nothing."""
+    labelled, encoder, _, model, _ = _decided(spark, folder)
+    whole = PipelineModel([*encoder.stages, model])
+    found = permutation_importance(whole, labelled, ["grid", "month", "status"], ["EntryId"])
+    return found.select("column", (F.col("fall") > 0.2).alias("falls"), (F.col("fall") == 0).alias("unmoved"))
+
+
+@query(
+    "position_probabilities",
+    f"SELECT EntryId, place, CAST(CAST(place AS INT) AS DOUBLE) AS prediction, 1.0::DOUBLE AS total, true AS likeliest FROM ({DECIDED})",
+)
+def position_probabilities(spark, folder):
+    """A place decided by one column: predicted exactly; chances sum to 1, the largest is the prediction."""
+    labelled, _, encoded = _encoded(spark, folder, "place")
+    model = position_model(numTrees=TREES, maxDepth=5, featureSubsetStrategy="all", subsamplingRate=1.0, bootstrap=False)
+    scored = predictions(model.fit(encoded.filter("split = 'train'")), encoded, ["EntryId"])
+    chances = F.col("probabilities")
+    shown = scored.select(
+        "EntryId", "prediction", F.round(F.aggregate(chances, F.lit(0.0), lambda a, b: a + b), 9).alias("total"),
+        (F.get(chances, F.col("prediction").cast("int")) == F.array_max(chances)).alias("likeliest"),
+    )
+    return shown.join(labelled.select("EntryId", "place"), "EntryId")
+
+
+@query(
+    "search_scores",
+    "SELECT CAST(range AS INT) AS draw, 1.0::DOUBLE AS mean_score FROM range(20)",
+)
+def search_scores(spark, folder):
+    """All draws of the search, each over all folds; where one threshold decides every score is 1."""
+    _, _, encoded, _, _ = _decided(spark, folder)
+    space = {"maxDepth": lambda r: r.randint(1, 4), "maxIter": lambda r: r.randint(1, TREES)}
+    estimator = position_model(featureSubsetStrategy="all", bootstrap=False)
+    _, scores = random_search(estimator, encoded.filter("split = 'train'"), space, metric="accuracy")
+    return scores.select("draw", F.round("mean_score", 9).alias("mean_score"))
+
+
+@query(
+    "model_losses",
+    f"""{SPLIT_SQL}, rated AS (SELECT split.split, scored.label, scored.prediction,
+        CASE WHEN scored.label = 1 THEN scored.score ELSE 1 - scored.score END AS chance
+        FROM split JOIN scored USING (EntryId))
+    SELECT split, round(-avg(ln(greatest(chance, 1e-15))), 9) AS log_loss,
+        round(avg(CAST(prediction <> label AS INT)), 9) AS error FROM rated GROUP BY split""",
+)
+def model_losses(spark, folder):
+    scored = _scored(spark, folder).select("EntryId", "label", "prediction", "score")
+    rated = stratified_split(scored, "label", ["EntryId"]).withColumn("probabilities", F.array(1 - F.col("score"), "score"))
+    found = losses(rated, "label")
+    return found.select("split", F.round("log_loss", 9).alias("log_loss"), F.round("error", 9).alias("error"))

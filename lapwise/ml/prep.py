@@ -68,33 +68,27 @@ def columns_with_values(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if known[c] > 0]
 
 
-def encode_label(df: DataFrame, label: str, name: str = "label", most: int = 1000) -> StringIndexerModel:
+def encode_label(df: DataFrame, label: str, name: str = "label") -> StringIndexerModel:
     """Class numbers of a label read as text.
 
     Text classes are numbered in text order (1, 10, 11, 2, R), number classes by size.
     """
     texts, _ = typed_columns(df.select(label))
-    values = known_values(df, label, most)
+    values = known_values(df, label)
     if not texts:
         shown = df.sparkSession.createDataFrame([(v,) for v in values], df.select(label).schema)
         values = [row[0] for row in shown.orderBy(label).select(F.col(label).cast("string")).collect()]
     return StringIndexerModel.from_labels(values, inputCol=label, outputCol=name, handleInvalid="error")
 
 
-def build_preprocessor(
-    train: DataFrame, texts: Sequence[str], numbers: Sequence[str], most_categories: int = 100_000
-) -> Pipeline:
+def build_preprocessor(train: DataFrame, texts: Sequence[str], numbers: Sequence[str]) -> Pipeline:
     """One-hot for text, standard scaling for numbers, one feature vector.
 
     An unseen or missing category is all zeros, a missing number the mean. Scaling uses the population
-    deviation, as the row count of `train` corrects Spark's sample deviation. The
-    category lists live on the driver, so their number is checked first; text with
-    more values than that is an identifier, not a category.
+    deviation, as the row count of `train` corrects Spark's sample deviation. The category lists live
+    on the driver, as the indexer's model does: leave identifiers out.
     """
-    seen = train.agg(F.count(F.lit(1)).alias("rows"), *[F.approx_count_distinct(c).alias(c) for c in texts]).first()
-    wide = [c for c in texts if seen[c] > most_categories]
-    if wide:
-        raise ValueError(f"more than {most_categories} values, leave out or group: {', '.join(wide)}")
+    seen = train.agg(F.count(F.lit(1)).alias("rows")).first()
     rows = max(seen["rows"], 2)
     stages = []
     parts = []

@@ -64,3 +64,21 @@ def stratified_split(
         F.when(place <= F.col("__test"), "test").when(place <= F.col("__upto"), "validation").otherwise("train")
     )
     return ranked.withColumn("split", split).select(*df.columns, "split")
+
+
+def stratified_folds(
+    df: DataFrame, label: str, folds: int, ids: Sequence[str], seed: int = 42, into: str = "fold", slot_digits: int = 2
+) -> DataFrame:
+    """Add `into`, 0 to `folds` - 1: the label's rows in turn, in the order of a hash of the seed and the ids.
+
+    Ranks inside a label are taken in slots of the hash and shifted by slot counts, as for the split.
+    """
+    draw = F.md5(F.concat_ws(":", F.lit(f"fold{seed}"), *[F.col(c).cast("string") for c in ids]))
+    drawn = df.withColumn(_DRAW, draw).withColumn(_SLOT, F.substring(_DRAW, 1, slot_digits))
+    before = Window.partitionBy(label).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
+    slots = drawn.groupBy(label, _SLOT).agg(F.count(F.lit(1)).alias("__n"))
+    shifts = slots.select(label, _SLOT, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__shift"))
+    inside = Window.partitionBy(label, _SLOT).orderBy(_DRAW, *ids)
+    ranked = drawn.withColumn(_RANK, F.row_number().over(inside)).join(shifts, [label, _SLOT])
+    fold = F.pmod(F.col(_RANK) + F.col("__shift"), F.lit(folds)).cast("int")
+    return ranked.withColumn(into, fold).select(*df.columns, into)

@@ -12,7 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from lapwise.session import parallel_pieces
+from lapwise.ml.split import stratified_folds
+from lapwise.session import stage
 
 Draw = Callable[[random.Random], float | int | str]
 
@@ -26,6 +27,7 @@ SEARCH_SPACE: dict[str, Draw] = {
     "featureSubsetStrategy": lambda r: str(round(r.uniform(0.6, 1.0), 6)),
     "minInfoGain": lambda r: r.uniform(0.0, 0.5),
 }
+_SLOT_ROWS = 10_000
 FOREST_NAMES = {"maxIter": "numTrees", "stepSize": None}
 
 
@@ -64,9 +66,12 @@ def random_search(
 ) -> tuple[Model, DataFrame]:
     """The best model refitted on all of `train`, and the mean score of each draw.
 
-    `train` holds the encoded features; it is read for each draw and fold, so pass
-    a staged table. A name that the estimator does not know is passed over.
+    `train` holds the encoded features; it is read for each draw and fold. Every
+    fold has each label in proportion. A name that the estimator does not know is
+    passed over.
     """
+    numbered = stage(train.withColumn("__row", F.monotonically_increasing_id()), "search-rows")
+    train = stage(stratified_folds(numbered, label, folds, ["__row"], seed, "__fold").drop("__row"), "search-folds")
     drawn = draw_params(space, n, seed)
     renamed = FOREST_NAMES if isinstance(estimator, RandomForestClassifier) else {}
     grid = []
@@ -78,8 +83,8 @@ def random_search(
     else:
         evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
     search = CrossValidator(
-        estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, seed=seed,
-        parallelism=parallelism,
+        estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, foldCol="__fold",
+        seed=seed, parallelism=parallelism,
     )
     fitted = search.fit(train)
     rows = [
@@ -115,26 +120,32 @@ def predictions(model: Model, encoded: DataFrame, keep: Sequence[str]) -> DataFr
     return scored.select(*keep, *extra)
 
 
-def with_shuffled(
-    df: DataFrame, columns: Sequence[str], ids: Sequence[str], seed: int = 42, slots: int | None = None
-) -> DataFrame:
+def with_shuffled(df: DataFrame, columns: Sequence[str], ids: Sequence[str], seed: int = 42) -> DataFrame:
     """Beside each column, `__shuffled_{column}` with the values of other rows.
 
-    Rows are put in the order of a hash of their ids inside even slots of that
-    hash, and each takes the next row's value, the last one the first's. Slots are
-    as even as the ids are distinct, whatever the columns hold. There is one slot
-    for each shuffle partition; each should hold many rows.
+    All rows are put in the order of a hash of their ids, and each takes the next
+    row's values, the last one the first's. Places in that order come from places
+    inside slots of the hash and slot counts; there is a slot for about
+    `_SLOT_ROWS` rows, which has no part in the order. `df` is read twice: pass a
+    staged table.
     """
-    slots = slots or parallel_pieces(df.sparkSession)
     draw = F.xxhash64(F.lit(seed), *ids)
-    placed = df.withColumn("__draw", draw).withColumn("__slot", F.pmod(F.col("__draw"), F.lit(slots)))
-    ring = Window.partitionBy("__slot").orderBy("__draw", *ids)
-    first = ring.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = F.lead(F.lit(1)).over(ring).isNull()
-    shuffled = {
-        f"__shuffled_{c}": F.when(last, F.first(c).over(first)).otherwise(F.lead(c).over(ring)) for c in columns
-    }
-    return placed.withColumns(shuffled).drop("__draw", "__slot")
+    total = df.count()
+    slots = max(1, total // _SLOT_ROWS)
+    # the hash's range in even parts, so that slots keep its order
+    slot = F.floor((F.col("__draw") / F.lit(float(1 << 64)) + 0.5) * slots)
+    placed = df.withColumn("__draw", draw).withColumn("__slot", slot)
+    before = Window.orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("__slot").agg(F.count(F.lit(1)).alias("__n"))
+    shifts = counts.select("__slot", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__shift"))
+    inside = Window.partitionBy("__slot").orderBy("__draw", *ids)
+    ranked = placed.withColumn("__in", F.row_number().over(inside)).join(shifts, "__slot")
+    ranked = ranked.withColumn("__rank", F.col("__in") + F.col("__shift")).drop("__draw", "__slot", "__in", "__shift")
+    following = ranked.select(
+        F.when(F.col("__rank") == 1, F.lit(total)).otherwise(F.col("__rank") - 1).alias("__rank"),
+        *[F.col(c).alias(f"__shuffled_{c}") for c in columns],
+    )
+    return ranked.join(following, "__rank").drop("__rank")
 
 
 def permutation_importance(
@@ -145,12 +156,11 @@ def permutation_importance(
     label: str = "label",
     metric: str = "areaUnderROC",
     seed: int = 42,
-    slots: int | None = None,
 ) -> DataFrame:
     """How much the metric falls when one input column is shuffled, greatest fall first.
 
-    `model` is a pipeline from raw columns to prediction; `df` is read once for
-    each column, so pass a staged table.
+    `model` is a pipeline from raw columns to prediction; `df` is read for each
+    column, so pass a staged table.
     """
     if metric == "areaUnderROC":
         evaluator = BinaryClassificationEvaluator(labelCol=label, metricName=metric)
@@ -159,7 +169,7 @@ def permutation_importance(
     base = evaluator.evaluate(model.transform(df))
     rows = []
     for column in columns:
-        swapped = with_shuffled(df, [column], ids, seed, slots)
+        swapped = with_shuffled(df, [column], ids, seed)
         swapped = swapped.withColumn(column, F.col(f"__shuffled_{column}")).drop(f"__shuffled_{column}")
         rows.append((column, float(base - evaluator.evaluate(model.transform(swapped)))))
     table = df.sparkSession.createDataFrame(rows, "column string, fall double")

@@ -152,3 +152,14 @@ def mean_of_first(aucs: DataFrame, k: int = 5, by: Sequence[str] = ()) -> DataFr
     values = F.transform(firsts, lambda row: row["auc"])
     total = F.aggregate(values, F.lit(0.0), lambda a, b: a + F.coalesce(b, F.lit(0.0)))
     return aucs.groupBy(*by).agg((total / F.size(F.filter(values, lambda v: v.isNotNull()))).alias("mean_auc"))
+
+
+def losses(scored: DataFrame, label: str, by: str = "split") -> DataFrame:
+    """Log loss and error rate of each set; `probabilities` go by class number, `prediction` is one.
+
+    Probabilities are kept from 0 by 1e-15, as is usual.
+    """
+    chance = F.greatest(F.get("probabilities", F.col(label).cast("int")), F.lit(1e-15))
+    return scored.groupBy(by).agg(
+        (-F.avg(F.ln(chance))).alias("log_loss"), F.avg((F.col("prediction") != F.col(label)).cast("int")).alias("error")
+    )

@@ -7,12 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def known_values(df: DataFrame, column: str, most: int = 1000) -> list:
-    """Distinct present values in order, for use as pivot columns; too many is an error."""
-    found = [row[0] for row in df.select(column).na.drop().distinct().limit(most + 1).collect()]
-    if len(found) > most:
-        raise ValueError(f"{column} has more than {most} values: keep it in rows")
-    return sorted(found)
+def known_values(df: DataFrame, column: str) -> list:
+    """Distinct present values in order, for use as pivot columns or classes; all of them reach the driver."""
+    return sorted(row[0] for row in df.select(column).na.drop().distinct().collect())
 
 
 def pivot_stats(
@@ -83,6 +80,13 @@ def min_max_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: scaled(c, ends[c]) for c in columns})
 
 
-def transpose_small(df: DataFrame, index: str) -> DataFrame:
-    """Rows to columns for a small report; Spark's own row limit guards it."""
-    return df.transpose(F.col(index))
+def transpose_small(df: DataFrame, index: str, most: int = 500) -> DataFrame:
+    """Rows to columns for a report of at most `most` rows; more is an error."""
+    spark = df.sparkSession
+    name = "spark.sql.transposeMaxValues"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        return df.transpose(F.col(index))
+    finally:
+        spark.conf.set(name, before)

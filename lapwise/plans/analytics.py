@@ -113,6 +113,22 @@ def track_structure(full: DataFrame) -> DataFrame:
     return full.select("Location", "fast", "medium", "slow").distinct().orderBy(F.asc_nulls_last("Location"))
 
 
+def track_profile_rows(full: DataFrame, entity: str) -> DataFrame:
+    """The same in rows (entity, name, value), for any number of locations; places without a start have no row."""
+    corners = ("slow", "medium", "fast")
+    ends = column_ends(full, corners)
+    known = full.filter(F.col(entity).isNotNull())
+    totals = known.groupBy(entity).agg(*[F.avg(c).alias(c) for c in corners], F.count(F.lit(1)).alias("__rows"))
+    means = totals.select(entity, *[scaled(c, ends[c]).alias(c) for c in corners]).unpivot(
+        [entity], list(corners), "name", "value"
+    )
+    starts = known.filter(F.col("Location").isNotNull()).groupBy(entity, "Location").agg(F.count(F.lit(1)).alias("__starts"))
+    shares = starts.join(totals.select(entity, "__rows"), entity).select(
+        entity, F.concat(F.lit("Loc_"), F.col("Location")).alias("name"), (F.col("__starts") / F.col("__rows")).alias("value")
+    )
+    return means.unionByName(shares)
+
+
 def track_profile(full: DataFrame, entity: str, locations: Sequence[str]) -> DataFrame:
     """Mean scaled corner counts and share of starts at each location, one row for each entity.
 

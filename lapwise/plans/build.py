@@ -65,17 +65,23 @@ def build(
     return stored
 
 
-def reports(full: DataFrame) -> dict[str, DataFrame]:
-    """The nine report tables over the stored full dataset."""
-    names = {entity: known_values(full, entity) for entity in ("DriverId", "TeamName", "Location")}
+def reports(full: DataFrame, wide: bool = False) -> dict[str, DataFrame]:
+    """The nine report tables over the stored full dataset.
+
+    Points and profiles come in rows; `wide` gives them a column for each driver,
+    team or location, whose names then go through the driver.
+    """
     # A team's rows of one race count in the order of the finish.
     placed = full.withColumn("__place", F.coalesce("Position", F.lit(float("inf"))))
     points = {
-        entity: analytics.points_table(
-            analytics.points_over_time(placed, entity, ["__place", "DriverNumber"]), entity, names[entity]
-        )
+        entity: analytics.points_over_time(placed, entity, ["__place", "DriverNumber"])
         for entity in ("DriverId", "TeamName")
     }
+    profiles = {entity: analytics.track_profile_rows(full, entity) for entity in points}
+    if wide:
+        places = known_values(full, "Location")
+        profiles = {entity: analytics.track_profile(full, entity, places) for entity in points}
+        points = {entity: analytics.points_table(p, entity, known_values(full, entity)) for entity, p in points.items()}
     return {
         "driver_points": points["DriverId"],
         "team_points": points["TeamName"],
@@ -84,6 +90,6 @@ def reports(full: DataFrame) -> dict[str, DataFrame]:
         "weather_and_tyres": analytics.weather_and_tyres(full),
         "incidents": analytics.incidents_by_location(full),
         "track_structure": analytics.track_structure(full),
-        "driver_profile": analytics.track_profile(full, "DriverId", names["Location"]),
-        "team_profile": analytics.track_profile(full, "TeamName", names["Location"]),
+        "driver_profile": profiles["DriverId"],
+        "team_profile": profiles["TeamName"],
     }

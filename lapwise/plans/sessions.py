@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -14,7 +14,7 @@ from lapwise.operators.joins import (
 )
 from lapwise.operators.segments import pit_summary
 from lapwise.operators.summaries import (
-    MESSAGES, QUALIFYING_MESSAGES, corner_counts, lap_summary, status_counts, weather_summary,
+    COMPOUNDS, MESSAGES, QUALIFYING_MESSAGES, corner_counts, lap_summary, status_counts, weather_summary,
 )
 from lapwise.session import stage
 
@@ -23,19 +23,23 @@ EVENT_COLUMNS = (
     "Country", "Location", "OfficialEventName", "EventName", "EventFormat",
     *[f"Session{i}TimeOfDay" for i in range(1, 6)],
 )
+# Races and qualifying keep laps on tyres of no known compound; practices do not.
+ALL_COMPOUNDS = (*COMPOUNDS, "UNKNOWN")
 PRACTICE_JOIN = {"FP1": "left", "FP2": "left", "FP3": "right"}
 
 
-def driver_laps(laps: DataFrame, prefix: str, with_lap: bool = False) -> DataFrame:
+def driver_laps(
+    laps: DataFrame, prefix: str, with_lap: bool = False, compounds: Sequence[str] = COMPOUNDS
+) -> DataFrame:
     """Sector, tyre and pit columns of each driver and session.
 
     Two aggregates that read different lap columns; both end partitioned by
     driver, so their join shuffles nothing again.
     """
-    return join_driver(lap_summary(laps, prefix, with_lap), pit_summary(laps, prefix))
+    return join_driver(lap_summary(laps, prefix, with_lap, compounds=compounds), pit_summary(laps, prefix))
 
 
-def race_table(raw: Mapping[str, DataFrame]) -> DataFrame:
+def race_table(raw: Mapping[str, DataFrame], compounds: Sequence[str] = ALL_COMPOUNDS) -> DataFrame:
     """Results with winner, pace, weather, laps, track status, corners and event of the race."""
     results = raw["results"]
     event = with_time_of_day(raw["schedule"]).select(*SESSION, *EVENT_COLUMNS)
@@ -50,11 +54,11 @@ def race_table(raw: Mapping[str, DataFrame]) -> DataFrame:
     )
     paced = with_winner(results, sessions)
     return join_driver(
-        paced, driver_laps(raw["laps"], "RACE_"), [*SESSION, "Abbreviation"], DRIVER
+        paced, driver_laps(raw["laps"], "RACE_", compounds=compounds), [*SESSION, "Abbreviation"], DRIVER
     )
 
 
-def qualifying_table(raw: Mapping[str, DataFrame]) -> DataFrame:
+def qualifying_table(raw: Mapping[str, DataFrame], compounds: Sequence[str] = ALL_COMPOUNDS) -> DataFrame:
     """Drivers who set a lap, with weather, laps, flags, position and Q1-Q3 times."""
     results = rename(raw["results"], {q: f"Quali_{q}_ms" for q in ("Q1", "Q2", "Q3")})
     sessions = combine_sessions(
@@ -63,7 +67,7 @@ def qualifying_table(raw: Mapping[str, DataFrame]) -> DataFrame:
             status_counts(raw["track_status"], "Quali_", QUALIFYING_MESSAGES),
         ]
     )
-    drivers = expand_session(sessions, driver_laps(raw["laps"], "Quali_"), how="right")
+    drivers = expand_session(sessions, driver_laps(raw["laps"], "Quali_", compounds=compounds), how="right")
     return join_driver(drivers, results, DRIVER, [*SESSION, "Abbreviation"])
 
 

@@ -36,7 +36,8 @@ def filled(df: DataFrame, ids: Sequence[str], order: Sequence[str], whole_frame:
     """Missing inputs filled in row order, over the whole table or inside each season and race."""
     columns = [c for c in df.columns if c not in (*ids, *order)]
     part = [] if whole_frame else list(order[:-1])
-    return fill_forward_backward(df, list(order) if whole_frame else [order[-1]], columns, part)
+    done = fill_forward_backward(stage(df, "unfilled"), list(order) if whole_frame else [order[-1]], columns, part)
+    return stage(done, "filled")
 
 
 def train(
@@ -80,20 +81,20 @@ def train(
     )
 
 
-def train_winner(before_race: DataFrame, ids: Sequence[str], order: Sequence[str], draws: int = 20, **options) -> Trained:
+def train_winner(before_race: DataFrame, ids: Sequence[str], order: Sequence[str], draws: int = 20, whole_frame: bool = True, **options) -> Trained:
     """Two-class winner model on practice columns."""
     extra = [c for c in (*ids, *order) if c not in winner_features(before_race, True).columns]
-    rows = filled(before_race.select(*winner_features(before_race, True).columns, *extra), ids, order)
+    rows = filled(before_race.select(*winner_features(before_race, True).columns, *extra), ids, order, whole_frame)
     return train(rows, WINNER_LABEL, ids, True, draws, **options)
 
 
-def train_position(before_race: DataFrame, ids: Sequence[str], order: Sequence[str], draws: int = 20, **options) -> Trained:
+def train_position(before_race: DataFrame, ids: Sequence[str], order: Sequence[str], draws: int = 20, whole_frame: bool = True, **options) -> Trained:
     """Finishing place from what is known before the race."""
-    rows = filled(before_race.drop(WINNER_LABEL), ids, order)
+    rows = filled(before_race.drop(WINNER_LABEL), ids, order, whole_frame)
     return train(rows, "Position", ids, False, draws, **options)
 
 
-def train_classified_position(full: DataFrame, ids: Sequence[str], order: Sequence[str], draws: int = 10, **options) -> Trained:
+def train_classified_position(full: DataFrame, ids: Sequence[str], order: Sequence[str], draws: int = 10, whole_frame: bool = True, **options) -> Trained:
     """Classified place from the full dataset."""
-    rows = filled(full.drop(WINNER_LABEL, "Position", "Points"), ids, order)
+    rows = filled(full.drop(WINNER_LABEL, "Position", "Points"), ids, order, whole_frame)
     return train(rows, "ClassifiedPosition", ids, False, draws, **options)

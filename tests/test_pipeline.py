@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lapwise.ml.prep import WINNER_FEATURES, booleans_as_numbers, typed_columns, winner_features
 from lapwise.ml.score import score
+from lapwise.ml.split import stratified_folds
 from lapwise.ml.train import load_model, permutation_importance, save_model, with_shuffled
 from lapwise.plans.build import build, reports
 from lapwise.plans.dataset import COMPARED, OUTCOMES
@@ -122,7 +123,8 @@ def test_datasets(built):
     assert full.count() == 64
     for gone in ("Time", "WinnerTime", "FP1_Driver", "FP2_RACEYEAR", "Driver", "Unnamed: 0", *COMPARED):
         assert gone not in full.columns
-    assert not [c for c in full.columns if "UNKNOWN" in c or c.startswith("OverallSession_")]
+    assert not [c for c in full.columns if c.startswith("OverallSession_")]
+    assert {c.split("_")[0] for c in full.columns if "UNKNOWN" in c} == {"RACE", "Quali"}
     assert len([c for c in full.columns if c.startswith("ComparativePace_")]) == 18
     best = full.groupBy("RACEYEAR", "RACENUMBER").agg(F.min("ComparativePace_Quali_Q1_ms").alias("m"))
     assert {r.m for r in best.collect()} == {1.0}
@@ -135,7 +137,12 @@ def test_datasets(built):
 
 
 def test_reports(built):
-    found = reports(built["full"])
+    found = reports(built["full"], wide=True)
+    in_rows = reports(built["full"])
+    assert in_rows["driver_points"].columns == ["RACEYEAR", "RACENUMBER", "DriverId", "CumulativePoints"]
+    wide, long = found["driver_profile"].toPandas().set_index("DriverId"), in_rows["driver_profile"].toPandas()
+    for driver, name, value in long.itertuples(index=False):
+        assert wide.loc[driver, name] == pytest.approx(value)
     assert len(found) == 9
     points = found["driver_points"].toPandas()
     # Calendar order, not text order.
@@ -165,9 +172,8 @@ def test_winner_model_and_scoring(spark, built, tmp_path):
     top = trained.importance.first()
     assert top.importance > 0 and not top.feature.startswith("feature_")
     save_model(trained.model, str(tmp_path / "m"))
-    from lapwise.plans.training import filled
-
-    ready = booleans_as_numbers(filled(before.select(*WINNER_FEATURES, "DriverNumber"), IDS, ORDER))
+    ready = before.select(*WINNER_FEATURES, "DriverNumber")
+    assert "boolean" in dict(ready.dtypes).values()
     scored = score(ready, load_model(str(tmp_path / "m")))
     chances = [r.win_probability for r in scored.collect()]
     assert len(chances) == 64 and chances == sorted(chances, reverse=True)
@@ -195,11 +201,29 @@ def test_booleans_are_in_neither_list_until_made_numbers(spark):
 
 def test_shuffled_columns_keep_their_values(spark):
     df = spark.range(200).withColumn("v", F.col("id") * 2)
-    moved = with_shuffled(df, ["v"], ["id"], slots=4)
+    moved = with_shuffled(df, ["v"], ["id"])
     assert rows(moved.select("__shuffled_v")) == rows(df.select("v"))
     assert moved.filter("__shuffled_v <> v").count() > 190
 
 
+def test_a_permutation_does_not_depend_on_settings(spark):
+    df = spark.range(208).withColumn("v", F.col("id") * 2)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    for width in ("200", "3"):
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+        found.append(rows(with_shuffled(df, ["v"], ["id"]).select("id", "__shuffled_v")))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] and all(v != 2 * i for i, v in found[0])
+
+
+def test_folds_hold_each_label_in_proportion(spark):
+    df = spark.range(623).withColumn("label", (F.col("id") < 31).cast("int"))
+    sizes = stratified_folds(df, "label", 5, ["id"]).groupBy("label", "fold").count().collect()
+    assert sorted(r["count"] for r in sizes if r.label == 1) == [6, 6, 6, 6, 7]
+    assert {r["count"] for r in sizes if r.label == 0} <= {118, 119}
+
+
 def test_permutation_finds_the_column_that_matters(spark):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
@@ -207,5 +231,5 @@ def test_permutation_finds_the_column_that_matters(spark):
 
     df = spark.range(400).selectExpr("id", "cast(id % 2 as double) label", "cast(id % 2 as double) a", "cast(id % 7 as double) b")
     model = Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="features"), LogisticRegression()]).fit(df)
-    found = permutation_importance(model, df, ["a", "b"], ["id"], slots=4).collect()
+    found = permutation_importance(model, df, ["a", "b"], ["id"]).collect()
     assert found[0].column == "a" and found[0].fall > 0.3 and abs(found[1].fall) < 0.05
