@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
-from lapwise.catalog.lap_queries import ENDS, GAPS, K2, K3, PITS, SECTORS, STATUSES, TYRES, WEATHERS
+from lapwise.catalog.lap_queries import (
+    ENDS, GAPS, K2, K3, MESSAGE_COUNTS, PITS, SECTOR_COLUMNS, SECTORS, STAT_NAMES, STATUSES, TYRES, WEATHER_STATS, WEATHERS,
+)
 from lapwise.catalog.registry import query
 from lapwise.catalog.standins import view, with_views
 from lapwise.keys import SESSION
 from lapwise.operators.joins import finishers, join_session
 from lapwise.plans.dataset import COMPARED, before_race_dataset, full_dataset
-from lapwise.plans.sessions import practice_table, qualifying_table, race_table
+from lapwise.operators.summaries import COMPOUNDS, QUALIFYING_MESSAGES
+from lapwise.plans.sessions import ALL_COMPOUNDS, practice_table, qualifying_table, race_table
 from lapwise.session import stage
 
 PARTS_OF_DAY = """CASE WHEN (RACENUMBER * 2) % 24 BETWEEN 5 AND 11 THEN 'morning'
@@ -166,3 +171,70 @@ def dataset(spark, folder):
     full = full_dataset(stage(_race(spark, folder), "race"), quali, practice)
     kept = [f"ComparativePace_{c}" for c in COMPARED if c in ("FP1_FastestFullLapTime_ms", "FP3_FastestSector1Time_ms", "Quali_Q1_ms")]
     return before_race_dataset(full).select(*SESSION, "EntryId", *kept)
+
+
+# Every column of the session tables, each session from laps of its own and with tyres of no known compound.
+WEATHER_NAMES = [part.split(" AS ")[1] for part in WEATHER_STATS.split(", ")]
+MESSAGE_NAMES = [part.split(" AS ")[1] for part in MESSAGE_COUNTS.split(", ")]
+SECTOR_NAMES = [part.split(" AS ")[1] for part in SECTOR_COLUMNS.split(", ")]
+UNKNOWN_TYRE = "CASE WHEN TyreLife = 11 THEN 'UNKNOWN' ELSE Compound END"
+LEFT_OUT = {"R": 1, "Q": 2, "FP1": 3, "FP2": 4, "FP3": 5}
+
+
+def _own_rows(spark, folder, session):
+    """A session's laps, without those of one stint, beside the common weather and status."""
+    laps = view(spark, folder, "laps").where(F.coalesce(F.col("Stint"), F.lit(0.0)) != LEFT_OUT[session])
+    return {**_raw(spark, folder), "laps": laps.withColumn("Compound", F.expr(UNKNOWN_TYRE))}
+
+
+def _whole_sql(session, compounds, lap, joins, extra=""):
+    prefix = {"R": "RACE", "Q": "Quali"}.get(session, session)
+    shown = [*WEATHER_NAMES, *SECTOR_NAMES, *(["FastestFullLapTime_ms"] if lap else []), "AvgPitStopDuration_ms", "TotalPitStops"]
+    shown += [m for m in MESSAGE_NAMES if session != "Q" or m in QUALIFYING_MESSAGES]
+    cells = [f"{stat}_{c}" for stat in STAT_NAMES for c in compounds]
+    pivot = ", ".join(f"max(CASE WHEN Compound = '{c}' THEN {stat} END) AS {stat}_{c}" for stat in STAT_NAMES for c in compounds)
+    views = with_views("laps", "weather", "status").replace("laps AS", "every AS", 1)
+    return f"""{views}, laps AS (SELECT * REPLACE ({UNKNOWN_TYRE} AS Compound) FROM every WHERE coalesce(Stint, 0) <> {LEFT_OUT[session]}),
+        {SECTORS}, {TYRES}, {ENDS}, {GAPS}, {PITS}, {WEATHERS}, {STATUSES}, pivoted AS (SELECT {K3}, {pivot} FROM tyres GROUP BY {K3}){extra}
+        SELECT {K3}, {", ".join(f'{c} AS "{prefix}_{c}"' for c in [*shown, *cells])} FROM {joins}
+        LEFT JOIN pivoted USING ({K3}) LEFT JOIN pits USING ({K3})"""
+
+
+WEATHER_FIRST = f"weathers LEFT JOIN statuses USING ({K2}) LEFT JOIN sectors USING ({K2})"
+DRIVERS_FIRST = f"sectors LEFT JOIN weathers USING ({K2}) LEFT JOIN statuses USING ({K2})"
+
+
+@query("practice_1_whole", _whole_sql("FP1", COMPOUNDS, True, WEATHER_FIRST))
+def practice_1(spark, folder):
+    return practice_table(_own_rows(spark, folder, "FP1"), "FP1")
+
+
+@query("practice_2_whole", _whole_sql("FP2", COMPOUNDS, True, WEATHER_FIRST))
+def practice_2(spark, folder):
+    return practice_table(_own_rows(spark, folder, "FP2"), "FP2")
+
+
+@query("practice_3_whole", _whole_sql("FP3", COMPOUNDS, True, DRIVERS_FIRST))
+def practice_3(spark, folder):
+    return practice_table(_own_rows(spark, folder, "FP3"), "FP3")
+
+
+@query("qualifying_whole", _whole_sql("Q", ALL_COMPOUNDS, False, DRIVERS_FIRST))
+def qualifying_laps(spark, folder):
+    """All lap, weather and status columns of qualifying; those of the results are in `qualifying_table`."""
+    table = qualifying_table({**_own_rows(spark, folder, "Q"), "results": _quali_results(spark, folder)})
+    return table.select(*[c for c in table.columns if c not in ("Abbreviation", "Position") and not re.match(r"Quali_Q\d", c)])
+
+
+@query("race_laps_whole", _whole_sql("R", ALL_COMPOUNDS, False, DRIVERS_FIRST))
+def race_laps(spark, folder):
+    """All lap, weather and status columns of races, for drivers with laps."""
+    raw = _own_rows(spark, folder, "R")
+    corners = view(spark, folder, "corners").withColumn("RACEYEAR", F.col("RACEYEAR") - 25)
+    drivers = raw["laps"].where("Driver IS NOT NULL").select(*SESSION, "Driver").distinct()
+    results = drivers.select(
+        *SESSION, F.col("Driver").alias("DriverId"), F.col("Driver").alias("Abbreviation"),
+        F.lit("Finished").alias("Status"), F.lit(1.0).alias("Time"), F.lit(2.0).alias("Position"),
+    )
+    table = race_table({**raw, "results": results, "corners": corners, "schedule": _schedule(spark, folder)})
+    return table.select(*SESSION, "Driver", *[c for c in table.columns if c.startswith("RACE_")])
