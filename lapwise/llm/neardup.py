@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -14,6 +16,14 @@ from lapwise.llm.shingles import shingles
 #: Document frequencies are counted in so many buckets of shingle hashes, at any size of the table.
 BUCKETS = 1 << 18
 _SLICES, _FAN_IN = 64, 256
+#: Buckets of up to so many members are compared in full; bands and their rows for differences from a leader.
+SMALL = 5
+APART_BANDS, APART_ROWS = 120, 3
+#: Members less similar to a leader than this are not dealt by it: a link of theirs meets in other buckets, since
+#: at most this share of samples lies in the leader (an expected loss of (1 - 0.512 + 0.064) ** 10, 0.3 percent).
+APART_FROM = 0.4
+#: Weight of what a text has less than its leader: all that differ from an odd leader lack the same.
+LACKING = 0.25
 #: How much of a shingle's weight its rarity decides: weights lie between tf and (1 + RARITY) * tf.
 RARITY = 0.1
 
@@ -122,6 +132,28 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return shared / whole if whole else 0.0
 
 
+def parted(batches, rows: int = 512):
+    """Batches of few rows, as a row holds two whole sets."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
+def weighted(hashes: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(hashes, np.uint32), np.frombuffer(weights, np.float16).astype(np.float64)
+
+
+def differences(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """What a has more than b, and, with less weight, what it lacks, as (hashes that tell both apart, weights)."""
+    hashes = np.union1d(a[0], b[0])
+    gap = np.zeros(len(hashes))
+    gap[np.searchsorted(hashes, a[0])] += a[1]
+    gap[np.searchsorted(hashes, b[0])] -= b[1]
+    some = np.flatnonzero(gap)
+    more = gap[some] > 0
+    return mix(hashes[some].astype(np.uint64) * np.uint64(2) + more.astype(np.uint64)), np.where(more, gap[some], -LACKING * gap[some])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the least node that links lead to, for every node of `edges` (a, b).
 
@@ -162,10 +194,16 @@ def near_duplicates(
 
     Shingles are `words` words; a shorter text with any word is one shingle. Texts
     that share the samples of a whole band meet in a bucket. In each bucket all
-    members are compared with a leader, the member with the fullest buckets; where
-    members of other components remain, 4, 16, 64, ... members lead, until every
-    pair of a bucket with different components has been compared. So no pair list
-    grows with the square of a group of copies, and no bucket is cut off.
+    members are compared with a leader, the member with the fullest buckets, and in
+    buckets of up to `SMALL` members all pairs of different components. A larger
+    bucket in which several components remain is dealt anew by what sets its
+    members apart from the leader: if two texts link but do not link to the
+    leader, their differences from it have a weighted Jaccard similarity of a third
+    or more, while texts that share no more than the leader's words have next to
+    none. Samples of the differences, in `APART_BANDS` bands of `APART_ROWS`, find
+    such pairs; in their buckets 1, 4, 16, ... members lead until every pair of
+    different components has been compared. So no pair list grows with the square of
+    a group of copies, and no bucket is cut off.
 
     Equal texts are one node before any of this. A missing text equals other
     missing texts; texts without words link to equal texts only. Repeated rows have
@@ -213,14 +251,41 @@ def near_duplicates(
             )
 
     def verified(batches):
-        def weighted(hashes, weights):
-            return np.frombuffer(hashes, np.uint32), np.frombuffer(weights, np.float16).astype(np.float64)
-
-        for batch in batches:
+        for batch in parted(batches):
             columns = [batch.column(n).to_pylist() for n in ("hashes_a", "weights_a", "hashes_b", "weights_b")]
             close = [weighted_jaccard(weighted(ha, wa), weighted(hb, wb)) >= threshold for ha, wa, hb, wb in zip(*columns)]
             yield batch.select(["a", "b"]).filter(pa.array(close, pa.bool_()))
 
+    def apart(batches):
+        """Band values of each text's differences from its leader: what it has more, and what it has less."""
+        sampler = Sampler(APART_BANDS * APART_ROWS)
+        band_seed = mix(np.arange(1, APART_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+        for batch in parted(batches):
+            names, leaders = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            columns = [batch.column(n).to_pylist() for n in ("hashes_a", "weights_a", "hashes_b", "weights_b")]
+            for lot in lots([len(h) + len(g) for h, g in zip(columns[0], columns[2])]):
+                owner, keys, weights = [], [], []
+                for row, (ha, wa, hb, wb) in enumerate(zip(*(c[lot] for c in columns))):
+                    one, leader = weighted(ha, wa), weighted(hb, wb)
+                    if weighted_jaccard(one, leader) < APART_FROM:
+                        continue
+                    key, more = differences(one, leader)
+                    owner.append(np.full(len(key), row))
+                    keys.append(key)
+                    weights.append(more)
+                if not sum(map(len, owner)):
+                    continue
+                owner, keys = np.concatenate(owner), np.concatenate(keys)
+                draws = sampler.draw(owner, keys, np.concatenate(weights))
+                values = mix((draws.reshape(len(draws), APART_BANDS, APART_ROWS) * band_seed).sum(axis=2, dtype=np.uint64)).view(np.int64)
+                rows_ = np.unique(owner)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([names[lot.start + r] for r in rows_ for _ in range(APART_BANDS)]),
+                     pa.array([leaders[lot.start + r] for r in rows_ for _ in range(APART_BANDS)]),
+                     pa.array(np.tile(np.arange(APART_BANDS, dtype=np.int32), len(rows_))), pa.array(values.ravel())],
+                    names=["node", "leader", "band", "value"],
+                )
+
     kind = docs.schema[id_col].dataType.simpleString()
     keyed = read.withColumn("key", digest(F.col("text")))
     signed = stage(keyed.mapInArrow(sampled, f"id {kind}, key string, bands array<long>"), "samples")
@@ -236,50 +301,83 @@ def near_duplicates(
         .select("key", "text").mapInArrow(weighed, "node string, hashes binary, weights binary"),
         "shingle-sets",
     )
-    weight = met.groupBy("node").agg(F.sum("size").alias("central"))
-    met = stage(met.join(weight, "node").select("band", "value", "node", "size", "central"), "buckets")
-
-    labels = None
-    leaders, tried = 1, 0
-    while True:
-        now = met.withColumn("label", F.col("node")) if labels is None else met.join(labels, "node", "left").withColumn(
-            "label", F.coalesce("label", "node"))
-        mixed = (
+    def compared(pairs: DataFrame, names: str = "hashes weights") -> DataFrame:
+        """Pairs (a, b) beside the sets of both."""
+        columns = names.split()
+        left = sets.toDF("a", *[f"{c}_a" for c in columns])
+        right = sets.toDF("b", *[f"{c}_b" for c in columns])
+        return pairs.join(left, "a").join(right, "b").select("a", "b", *[f"{c}_{side}" for side in "ab" for c in columns])
+
+    def central(buckets: DataFrame) -> DataFrame:
+        weight = buckets.groupBy("node").agg(F.sum("size").alias("central"))
+        return stage(buckets.join(weight, "node").select("band", "value", "node", "size", "central"), "buckets")
+
+    def mixed(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """Members of buckets that hold several components, with their labels."""
+        now = buckets.withColumn("label", F.col("node")) if labels is None else buckets.join(
+            labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        several = (
             now.groupBy("band", "value").agg(F.min("label").alias("low"), F.max("label").alias("high"))
             .where("low <> high").select("band", "value")
         )
-        # a bucket whose members have all led, but for one, holds no pair that was not compared
-        live = stage(now.where(F.col("size") > tried + 1).join(mixed, ["band", "value"]), "open-buckets")
-        if live.isEmpty():
-            break
-        by_centre = Window.partitionBy("band", "value").orderBy(F.desc("central"), "node")
+        return stage(now.join(several, ["band", "value"]), "open-buckets")
+
+    by_centre = Window.partitionBy("band", "value").orderBy(F.desc("central"), "node")
+
+    def led(live: DataFrame, tried: int, leaders: int) -> DataFrame:
         leading = (
             live.withColumn("turn", F.row_number().over(by_centre)).where(F.col("turn") <= leaders).where(F.col("turn") > tried)
             .select("band", "value", F.col("node").alias("b"), F.col("label").alias("label_b"))
         )
-        pairs = (
-            live.select("band", "value", F.col("node").alias("a"), "label").join(leading, ["band", "value"])
-            .where("label <> label_b").select("a", "b").distinct()
-        )
-        left = sets.toDF("a", "hashes_a", "weights_a")
-        right = sets.toDF("b", "hashes_b", "weights_b")
-        links = pairs.join(left, "a").join(right, "b").select("a", "b", "hashes_a", "weights_a", "hashes_b", "weights_b")
-        close = stage(links.mapInArrow(verified, "a string, b string"), "close")
-        if not close.isEmpty():
-            if labels is None:
-                labels = components(close)
-            else:
-                def label_of(side: str) -> DataFrame:
-                    return labels.toDF(side, f"label_{side}")
-
-                between = close.join(label_of("a"), "a", "left").join(label_of("b"), "b", "left").select(
-                    F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")
-                ).where("a <> b")
-                merged = components(between)
-                older = labels.join(merged.toDF("label", "new"), "label", "left").select("node", F.coalesce("new", "label").alias("label"))
-                newer = merged.join(labels, "node", "left_anti")
-                labels = stage(older.unionByName(newer), "labels")
-        tried, leaders = leaders, leaders * 4
+        return live.select("band", "value", F.col("node").alias("a"), "label").join(leading, ["band", "value"])
+
+    tested: list[DataFrame] = []
+
+    def linked(live: DataFrame, labels: DataFrame | None, tried: int, leaders: int) -> DataFrame | None:
+        """Labels after all members of `live` have been compared with new leaders of other components, no pair twice."""
+        pairs = led(live, tried, leaders).where("label <> label_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if tested:
+            pairs = pairs.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
+        pairs = stage(pairs, "pairs")
+        tested.append(pairs)
+        close = stage(compared(pairs).mapInArrow(verified, "a string, b string"), "close")
+        if close.isEmpty():
+            return labels
+        if labels is None:
+            return components(close)
+
+        def label_of(side: str) -> DataFrame:
+            return labels.toDF(side, f"label_{side}")
+
+        between = close.join(label_of("a"), "a", "left").join(label_of("b"), "b", "left").select(
+            F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")
+        ).where("a <> b")
+        merged = components(between)
+        older = labels.join(merged.toDF("label", "new"), "label", "left").select("node", F.coalesce("new", "label").alias("label"))
+        return stage(older.unionByName(merged.join(labels, "node", "left_anti")), "labels")
+
+    met = central(met)
+    labels = linked(mixed(met, None), None, 0, 1)
+    live = mixed(met, labels)
+    small = live.where(F.col("size").between(3, SMALL))
+    if not small.isEmpty():
+        labels = linked(small, labels, 1, SMALL)
+
+    large = mixed(met.where(F.col("size") > SMALL), labels)
+    if not large.isEmpty():
+        pairs = led(large, 0, 1).where("a <> b").select("a", "b").distinct()
+        dealt = compared(pairs).mapInArrow(apart, "node string, leader string, band int, value long")
+        dealt = stage(dealt.select("band", F.xxhash64("leader", "value").alias("value"), "node"), "apart")
+        counts = dealt.groupBy("band", "value").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        met = central(dealt.join(counts, ["band", "value"]))
+        leaders, tried = 1, 0
+        while True:
+            # a bucket whose members have all led, but for one, holds no pair that was not compared
+            live = mixed(met.where(F.col("size") > tried + 1), labels)
+            if live.isEmpty():
+                break
+            labels = linked(live, labels, tried, leaders)
+            tried, leaders = leaders, leaders * 4
 
     firsts = nodes.select(F.col("key").alias("node"), "first")
     if labels is None:
