@@ -11,7 +11,7 @@ from lapwise.llm.common import PrefixHash, digest, joined, lots, mix, ship, utf8
 #: An anchor is the least hash of a run of so many bytes inside a string.
 ANCHOR = 20
 #: Text bytes for each chunk of documents and each bucket of anchors, and the least number of them.
-PART_BYTES, LEAST_PARTS = 8 << 20, 64
+PART_BYTES, LEAST_PARTS = 2 << 20, 64
 #: Anchors gathered before a task hands them on.
 HELD_ANCHORS = 1 << 20
 _LAST = (1 << 63) - 1
