@@ -89,7 +89,8 @@ def nearest(
     Equal vectors are one point. Each curve orders points and queries by their
     keys, range-partitioned; ranks cut the order into blocks of `block` points. A
     query meets the points of its own block and of `reach` blocks on either side,
-    on every curve, in double precision. `reach` is the least for which `recall`
+    on every curve, in double precision; from the further ones it takes what is as
+    near as the `k` + 1 nearest of its own blocks. `reach` is the least for which `recall`
     of the true neighbours of `MEASURED` queries, found by a scan, lie that near on
     some curve; so it widens with the table where vectors have no structure.
 
@@ -174,28 +175,38 @@ def nearest(
     )
     reach = _reach(vecs, askers, blocks, k, size, recall)
 
-    here = blocks.where("NOT ask").select("curve", "block", "point", F.lit(False).alias("ask"))
-    near = F.explode(F.sequence(F.col("block") - reach, F.col("block") + reach))
-    there = blocks.where("ask").select("curve", near.alias("block"), "point", F.lit(True).alias("ask"))
-    met = here.unionByName(there).join(vecs, "point")
+    here = blocks.where("NOT ask").select("curve", "block", "point", F.lit(False).alias("ask"), F.lit(None).cast("double").alias("least"))
 
     def ranked(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks().sort_by("point")
         ask = rows.column("ask").to_numpy()
         matrix = _matrix(rows.column("vec").combine_chunks(), size)
-        ids = rows.column("point").to_numpy()
+        ids, least = rows.column("point").to_numpy(), rows.column("least").to_numpy()[ask]
         found, queries = ids[~ask], ids[ask]
         scores = matrix[ask] @ matrix[~ask].T
         best = np.argsort(-scores, axis=1, kind="stable")[:, : k + 1]
+        score = np.take_along_axis(scores, best, axis=1)
+        near = score >= np.where(np.isnan(least), -np.inf, least)[:, None]
         return pa.table({
-            "asker": np.repeat(queries, best.shape[1]), "point": found[best].ravel(),
-            "score": np.take_along_axis(scores, best, axis=1).ravel(),
+            "asker": np.broadcast_to(queries[:, None], score.shape)[near], "point": found[best][near], "score": score[near],
         })
 
-    pairs = (
-        met.groupBy("curve", "block").applyInArrow(ranked, "asker long, point long, score double")
-        .groupBy("asker", "point").agg(F.max("score").alias("score"))
-    )
+    def scored(there: DataFrame) -> DataFrame:
+        met = here.unionByName(there).join(vecs, "point")
+        return met.groupBy("curve", "block").applyInArrow(ranked, "asker long, point long, score double")
+
+    own = blocks.where("ask").select("curve", "block", "point", F.lit(True).alias("ask"), F.lit(None).cast("double").alias("least"))
+    pairs = stage(scored(own).groupBy("asker", "point").agg(F.max("score").alias("score")), "own-blocks")
+    if reach:
+        # what comes from further blocks has to be as near as the k + 1 nearest of the own ones
+        by_score = Window.partitionBy("asker").orderBy(F.desc("score"), "point")
+        least = pairs.withColumn("turn", F.row_number().over(by_score)).where(F.col("turn") <= k + 1).groupBy("asker").agg(
+            F.when(F.count(F.lit(1)) == k + 1, F.min("score")).alias("least")
+        )
+        near = F.explode(F.array_except(F.sequence(F.col("block") - reach, F.col("block") + reach), F.array("block")))
+        there = blocks.where("ask").select("curve", near.alias("block"), F.col("point"), F.lit(True).alias("ask"))
+        there = there.join(least, there["point"] == least["asker"]).select("curve", "block", "point", "ask", "least")
+        pairs = pairs.unionByName(scored(there)).groupBy("asker", "point").agg(F.max("score").alias("score"))
     closest = Window.partitionBy("asker").orderBy(F.desc("score"), "point")
     pairs = pairs.withColumn("turn", F.row_number().over(closest)).where(F.col("turn") <= k + 1)
     named = pairs.join(points.select("point", "ids"), "point").select("asker", "score", F.explode("ids").alias("vec_id"))
