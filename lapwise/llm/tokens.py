@@ -62,12 +62,16 @@ class Encoder:
                 for chunk in some:
                     self._chunks[chunk] = self._whole(" " + chunk)
 
+    def trim(self) -> None:
+        """Forget chunks that only one lot of texts had; a worker does so between tasks."""
+        self._chunks = {c: ids for c, ids in self._chunks.items() if c not in self._once}
+        self._once = set()
+
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         if len(self._chunks) > KEPT_CHUNKS:
-            self._chunks = {c: ids for c, ids in self._chunks.items() if c not in self._once}
+            self.trim()
             if len(self._chunks) > KEPT_CHUNKS // 4 * 3:
                 self._chunks.clear()
-            self._once.clear()
         cut = [None if _ODD.search(t) or t[:1] == " " or t[-1:] == " " else t.split(" ") for t in texts]
         known = self._chunks
         used = set()
