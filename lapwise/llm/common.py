@@ -2,41 +2,20 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lapwise.session import stage
+from lapwise.session import ship, stage
 
 __all__ = ["stage", "ship", "table", "digest", "utf8_bytes", "joined", "PrefixHash", "word_bounds", "mix"]
 
-_shipped: set[str] = set()
 #: Texts are handled in lots of about so many bytes, so that arrays of a lot stay small.
 LOT_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 
 
-def ship(spark: SparkSession) -> None:
-    """Give the workers this package, wherever the driver was started; once for each application."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    place = os.path.join(tempfile.mkdtemp(prefix="lapwise-code-"), "lapwise.zip")
-    with zipfile.ZipFile(place, "w") as packed:
-        for folder, _, names in os.walk(top):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    packed.write(full, os.path.relpath(full, os.path.dirname(top)))
-    context.addPyFile(place)
-    _shipped.add(context.applicationId)
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

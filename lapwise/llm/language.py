@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lapwise.llm.common import joined, lots, mix, ship
+from lapwise.llm.common import joined, lots, mix, ship, stage
 
 #: Runs of so many bytes, hashed to so many buckets, are what languages are told by.
 GRAM, BUCKETS = 3, 1 << 16
@@ -64,7 +64,7 @@ def language_tables(
     read = docs.select(F.col(label_col).alias("lang"), F.col(text_col).alias("text")).dropna()
     sums = read.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # one row for each language
-    packed = sums.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("counts"))
+    packed = stage(sums.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("counts")), "grams")
     names = sorted(r[0] for r in packed.select("lang").collect())
     if len(names) * BUCKETS * 4 > MOST_BYTES:
         raise ValueError(f"{len(names)} languages: their tables would take more than {MOST_BYTES} bytes")

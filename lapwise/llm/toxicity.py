@@ -203,9 +203,10 @@ def train(
         })
 
     schema = "category int, place binary, weight binary, earlier binary, constant double, least double"
-    rows = (
+    rows = sorted(
         both.mapInArrow(hashed, "id string, fold int, wanted array<int>, features binary")
-        .withColumn("sample", F.lit(0)).groupBy("sample").applyInPandas(chain, schema).orderBy("category").collect()
+        .withColumn("sample", F.lit(0)).groupBy("sample").applyInPandas(chain, schema).collect(),
+        key=lambda row: row["category"],
     )
     models = []
     for row in rows:
