@@ -309,7 +309,12 @@ def near_duplicates(
         return pairs.join(left, "a").join(right, "b").select("a", "b", *[f"{c}_{side}" for side in "ab" for c in columns])
 
     def central(buckets: DataFrame) -> DataFrame:
+        """Buckets with how full a member's buckets are together; of buckets with the same members one stays."""
         weight = buckets.groupBy("node").agg(F.sum("size").alias("central"))
+        sums = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(f"__sum{seed}") for seed in (1, 2)]
+        members = buckets.groupBy("band", "value", "size").agg(*sums)
+        once = members.groupBy("size", "__sum1", "__sum2").agg(F.min(F.struct("band", "value")).alias("one")).select("one.*")
+        buckets = buckets.join(once, ["band", "value"])
         return stage(buckets.join(weight, "node").select("band", "value", "node", "size", "central"), "buckets")
 
     def mixed(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
