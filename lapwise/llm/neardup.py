@@ -19,9 +19,10 @@ _SLICES, _FAN_IN = 64, 256
 #: Buckets of up to so many members are compared in full; bands and their rows for differences from a leader.
 SMALL = 5
 APART_BANDS, APART_ROWS = 120, 3
-#: Members less similar to a leader than this are not dealt by it: a link of theirs meets in other buckets, since
-#: at most this share of samples lies in the leader (an expected loss of (1 - 0.512 + 0.064) ** 10, 0.3 percent).
+#: Members less similar to a leader than this are not dealt by it, as all of them lack nearly the whole leader.
 APART_FROM = 0.4
+#: They are dealt by keys of so many samples of their own, in as many bands as leave this share of links apart.
+FAR_ROWS, FAR_LOSS = 8, 0.001
 #: Weight of what a text has less than its leader: all that differ from an odd leader lack the same.
 LACKING = 0.25
 #: How much of a shingle's weight its rarity decides: weights lie between tf and (1 + RARITY) * tf.
@@ -202,8 +203,10 @@ def near_duplicates(
     or more, while texts that share no more than the leader's words have next to
     none. Samples of the differences, in `APART_BANDS` bands of `APART_ROWS`, find
     such pairs; in their buckets 1, 4, 16, ... members lead until every pair of
-    different components has been compared. So no pair list grows with the square of
-    a group of copies, and no bucket is cut off.
+    different components has been compared. Members far from the leader, and those
+    near enough to it to link to such a member, are dealt by further samples of their
+    own, in longer keys of `FAR_ROWS`, and compared in the same way. So no pair list
+    grows with the square of a group of copies, and no bucket is cut off.
 
     Equal texts are one node before any of this. A missing text equals other
     missing texts; texts without words link to equal texts only. Repeated rows have
@@ -256,23 +259,57 @@ def near_duplicates(
             close = [weighted_jaccard(weighted(ha, wa), weighted(hb, wb)) >= threshold for ha, wa, hb, wb in zip(*columns)]
             yield batch.select(["a", "b"]).filter(pa.array(close, pa.bool_()))
 
+    # distances 1 - similarity obey the triangle inequality: who links to a member below APART_FROM is below this
+    far_from = APART_FROM + 1 - threshold
+    far_bands = int(np.ceil(np.log(FAR_LOSS) / np.log1p(-min(max(threshold, 0.3), 0.99) ** FAR_ROWS)))
+
+    def further(batches):
+        """Band values of each text's own samples, in longer keys than those of the first buckets."""
+        sampler = Sampler(far_bands * FAR_ROWS)
+        band_seed = mix(np.arange(1, FAR_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+        for batch in parted(batches):
+            names = batch.column("node").to_pylist()
+            columns = [batch.column(n).to_pylist() for n in ("hashes", "weights")]
+            for lot in lots(map(len, columns[0])):
+                some = [weighted(h, w) for h, w in zip(*(c[lot] for c in columns))]
+                owner = np.repeat(np.arange(len(some)), [len(h) for h, _ in some])
+                draws = sampler.draw(owner, mix(np.concatenate([h for h, _ in some]).astype(np.uint64)), np.concatenate([w for _, w in some]))
+                values = mix((draws.reshape(len(draws), far_bands, FAR_ROWS) * band_seed).sum(axis=2, dtype=np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([n for n in names[lot] for _ in range(far_bands)]),
+                     pa.array(np.tile(np.arange(far_bands, dtype=np.int32), len(some))), pa.array(values.ravel())],
+                    names=["node", "band", "value"],
+                )
+
     def apart(batches):
-        """Band values of each text's differences from its leader: what it has more, and what it has less."""
+        """Band values of each text's differences from its leader: what it has more, and what it has less.
+
+        A text far from its leader has a row of band -1.
+        """
         sampler = Sampler(APART_BANDS * APART_ROWS)
         band_seed = mix(np.arange(1, APART_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
         for batch in parted(batches):
             names, leaders = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             columns = [batch.column(n).to_pylist() for n in ("hashes_a", "weights_a", "hashes_b", "weights_b")]
             for lot in lots([len(h) + len(g) for h, g in zip(columns[0], columns[2])]):
-                owner, keys, weights = [], [], []
+                owner, keys, weights, far = [], [], [], []
                 for row, (ha, wa, hb, wb) in enumerate(zip(*(c[lot] for c in columns))):
                     one, leader = weighted(ha, wa), weighted(hb, wb)
-                    if weighted_jaccard(one, leader) < APART_FROM:
+                    alike = weighted_jaccard(one, leader)
+                    if alike < far_from:
+                        far.append(lot.start + row)
+                    if alike < APART_FROM:
                         continue
                     key, more = differences(one, leader)
                     owner.append(np.full(len(key), row))
                     keys.append(key)
                     weights.append(more)
+                if far:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([names[r] for r in far]), pa.array([leaders[r] for r in far]),
+                         pa.array([-1] * len(far), pa.int32()), pa.array([0] * len(far), pa.int64())],
+                        names=["node", "leader", "band", "value"],
+                    )
                 if not sum(map(len, owner)):
                     continue
                 owner, keys = np.concatenate(owner), np.concatenate(keys)
@@ -371,8 +408,10 @@ def near_duplicates(
     large = mixed(met.where(F.col("size") > SMALL), labels)
     if not large.isEmpty():
         pairs = led(large, 0, 1).where("a <> b").select("a", "b").distinct()
-        dealt = compared(pairs).mapInArrow(apart, "node string, leader string, band int, value long")
-        dealt = stage(dealt.select("band", F.xxhash64("leader", "value").alias("value"), "node"), "apart")
+        dealt = stage(compared(pairs).mapInArrow(apart, "node string, leader string, band int, value long"), "apart")
+        far = dealt.where("band < 0").select("node").distinct().join(sets, "node").mapInArrow(further, "node string, band int, value long")
+        far = stage(far.select((F.col("band") + APART_BANDS).alias("band"), "value", "node"), "further")
+        dealt = dealt.where("band >= 0").select("band", F.xxhash64("leader", "value").alias("value"), "node").unionByName(far)
         counts = dealt.groupBy("band", "value").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         met = central(dealt.join(counts, ["band", "value"]))
         leaders, tried = 1, 0

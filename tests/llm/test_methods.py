@@ -80,6 +80,20 @@ def test_near_copies_that_do_not_link_to_the_centre_find_each_other(spark):
     assert found == {0: 0, **{c: c - (c - 1) % 2 for c in range(1, 41)}}
 
 
+def test_pairs_far_from_every_leader_find_each_other(spark):
+    """Texts of six out of fourteen frequent lines: nearly every bucket is large, and its leader far from most members."""
+    draw = np.random.default_rng(11)
+    lines = [passage(20 * line, 20) for line in range(14)]
+    chosen = list({tuple(sorted(draw.permutation(14)[:6])) for _ in range(330)})[:300]
+    rows = [(i, " ".join(lines[j] for j in one)) for i, one in enumerate(chosen)]
+    for i in range(100):
+        words = rows[i][1].split()
+        words[30], words[90] = f"own{i}", f"other{i}"
+        rows.append((300 + i, " ".join(words)))
+    found = {r["doc_id"]: r["class_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {**{i: i for i in range(300)}, **{300 + i: i for i in range(100)}}
+
+
 def test_near_duplicate_classes_equal_all_links(spark, small, texts):
     found = {r["doc_id"]: r["class_id"] for r in queries()["op10_near_duplicates"](spark, small).collect()}
     sets = {}
