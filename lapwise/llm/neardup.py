@@ -18,13 +18,12 @@ BUCKETS = 1 << 18
 _SLICES, _FAN_IN = 64, 256
 #: Buckets of up to so many members are compared in full; bands and their rows for differences from a leader.
 SMALL = 5
-APART_BANDS, APART_ROWS = 120, 3
+#: So many bands leave 0.9 percent apart of those whose differences overlap by 2/7, and 0.05 percent at a third.
+APART_BANDS, APART_ROWS = 200, 3
 #: Members less similar to a leader than this are not dealt by it, as all of them lack nearly the whole leader.
 APART_FROM = 0.4
 #: They are dealt by keys of so many samples of their own, in as many bands as leave this share of links apart.
 FAR_ROWS, FAR_LOSS = 8, 0.001
-#: Weight of what a text has less than its leader: all that differ from an odd leader lack the same.
-LACKING = 0.25
 #: How much of a shingle's weight its rarity decides: weights lie between tf and (1 + RARITY) * tf.
 RARITY = 0.1
 
@@ -145,14 +144,14 @@ def weighted(hashes: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def differences(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """What a has more than b, and, with less weight, what it lacks, as (hashes that tell both apart, weights)."""
+    """What a has more than b and what it lacks, as (hashes that tell both apart, weights)."""
     hashes = np.union1d(a[0], b[0])
     gap = np.zeros(len(hashes))
     gap[np.searchsorted(hashes, a[0])] += a[1]
     gap[np.searchsorted(hashes, b[0])] -= b[1]
     some = np.flatnonzero(gap)
     more = gap[some] > 0
-    return mix(hashes[some].astype(np.uint64) * np.uint64(2) + more.astype(np.uint64)), np.where(more, gap[some], -LACKING * gap[some])
+    return mix(hashes[some].astype(np.uint64) * np.uint64(2) + more.astype(np.uint64)), np.abs(gap[some])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -198,11 +197,14 @@ def near_duplicates(
     members are compared with a leader, the member with the fullest buckets, and in
     buckets of up to `SMALL` members all pairs of different components. A larger
     bucket in which several components remain is dealt anew by what sets its
-    members apart from the leader: if two texts link but do not link to the
-    leader, their differences from it have a weighted Jaccard similarity of a third
-    or more, while texts that share no more than the leader's words have next to
-    none. Samples of the differences, in `APART_BANDS` bands of `APART_ROWS`, find
-    such pairs; in their buckets 1, 4, 16, ... members lead until every pair of
+    members apart from the leader, more and less alike: if two texts link at 0.8 but
+    neither links to the leader, their differences from it have a weighted Jaccard
+    similarity of 2/7 or more (of a third, if the leader weighs no less than they do).
+    Of a text that links to the leader and one that does not, the similarity is at
+    least 1 - D/B (D the distance of both, B that of the leader and the second, as
+    (1 - s) / (1 + s) for texts of equal weight), so such a pair can be missed if the
+    second has a similarity to the leader just below 0.8. Samples of the differences,
+    in `APART_BANDS` bands of `APART_ROWS`, find such pairs; in their buckets 1, 4, 16, ... members lead until every pair of
     different components has been compared. Members far from the leader, and those
     near enough to it to link to such a member, are dealt by further samples of their
     own, in longer keys of `FAR_ROWS`, and compared in the same way. So no pair list

@@ -94,6 +94,19 @@ def test_pairs_far_from_every_leader_find_each_other(spark):
     assert found == {**{i: i for i in range(300)}, **{300 + i: i for i in range(100)}}
 
 
+def test_pairs_that_only_lack_what_a_group_carries_find_each_other(spark):
+    """Beside each group of copies with a common paragraph, two texts without it that link to each other alone."""
+    rows = []
+    for group in range(30):
+        base, common = [f"base{group}x{i}" for i in range(171)], [f"common{group}x{i}" for i in range(29)]
+        for copy in range(14):
+            rows.append((100 * group + copy, " ".join(base[:-1] + [f"copy{group}x{copy}"] + common)))
+        for own in (50, 51):
+            rows.append((100 * group + own, " ".join(base + [f"own{group}x{own}x{i}" for i in range(17)])))
+    found = {r["doc_id"]: r["class_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {doc: doc - doc % 100 + (50 if doc % 100 >= 50 else 0) for doc, _ in rows}
+
+
 def test_near_duplicate_classes_equal_all_links(spark, small, texts):
     found = {r["doc_id"]: r["class_id"] for r in queries()["op10_near_duplicates"](spark, small).collect()}
     sets = {}
