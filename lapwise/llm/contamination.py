@@ -21,21 +21,21 @@ BLOCK_BYTES = 16 << 20
 class Phrases:
     """All windows of a block of items, each once, and the items that hold each of them."""
 
-    def __init__(self, items: Sequence[tuple[str, str | None]], window: int) -> None:
+    def __init__(self, items: Sequence[tuple[str | None, str | None]], window: int) -> None:
         data, starts = joined([(t or "").encode() for _, t in items])
         data = lowered(data)
         opens, closes, counts = word_bounds(data, starts)
         words = PrefixHash(data).between(opens, closes)
         self.vocabulary = np.unique(words)
         numbers = np.searchsorted(self.vocabulary, words) + 1
-        found: dict[tuple[int, ...], set[str]] = {}
+        found: dict[tuple[int, ...], set[str | None]] = {}
         first = 0
         for (item, _), count in zip(items, counts.tolist()):
             own = numbers[first : first + count].tolist()
             first += count
             for place in range(max(1, count - window + 1) if count else 0):
                 found.setdefault(tuple(own[place : place + window]), set()).add(item)
-        self.items = [sorted(i) for i in found.values()]
+        self.items = [sorted(i - {None}) for i in found.values()]
         self.lengths = np.array([len(p) for p in found], np.int64)
         self.shortest = int(self.lengths.min(initial=1 << 30))
         self.table = np.zeros((len(found), window), np.int64)
@@ -111,7 +111,8 @@ def contamination(
     documents are read once for each, and spans are merged afterwards.
 
     A missing text or item text has no words. Items without words find nothing.
-    Equal items are all reported. Repeated documents have a row each. Empty tables:
+    An item without an id is searched like the others, and its hits are in `spans`,
+    but it is not in `items`. Equal items are all reported. Repeated documents have a row each. Empty tables:
     without documents an empty table, without items no spans. Other columns are
     not kept.
     """
@@ -119,7 +120,7 @@ def contamination(
     ship(spark)
     items = benchmark.select(
         F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")
-    ).where(F.col("item").isNotNull())
+    )
     weight = items.agg(F.sum(utf8_bytes(F.col("text")))).first()[0] or 0
     blocks = -(-weight // BLOCK_BYTES) or 1
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -166,7 +167,7 @@ def contamination(
     parts = []
     for block in range(blocks):
         some = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block) if blocks > 1 else items
-        held = spark.sparkContext.broadcast(Phrases(sorted((r[0], r[1] or "") for r in some.collect()), window))
+        held = spark.sparkContext.broadcast(Phrases(sorted(((r[0], r[1] or "") for r in some.collect()), key=lambda r: (r[0] is not None, *r)), window))
         source = read.select(F.struct("id", F.monotonically_increasing_id().alias("row")).alias("id"), "text") if blocks > 1 else read
         parts.append(source.mapInArrow(searched(held), schema if blocks == 1 else schema.replace(
             f"id {kind.simpleString()}", f"id struct<id: {kind.simpleString()}, row: long>", 1)))

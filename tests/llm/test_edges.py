@@ -142,3 +142,12 @@ def test_near_duplicates(odd, none):
     assert near_duplicates(none).count() == 0
 
 
+
+
+def test_benchmark_items_without_an_id_are_searched(spark, odd):
+    from conftest_words import passage
+
+    items = spark.createDataFrame([(None, passage(10, 30)), (None, passage(200, 20)), (3, passage(10, 20))], "item_id long, text string")
+    found = {(r["doc_id"], r["n_words"]): r for r in contaminated(contamination(odd, items)).collect()}
+    assert found[1, 60]["n_hit"] == 30 and found[1, 60]["items"] == ["3"]
+    assert found[10, 80]["n_hit"] == 20 and found[10, 80]["items"] == [] and found[10, 80]["contaminated"]
