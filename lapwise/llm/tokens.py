@@ -21,7 +21,7 @@ _encoders: dict[str, "Encoder"] = {}
 def encoder(path: str) -> "Encoder":
     """One encoder for each worker process and vocabulary."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, added=True)
     return _encoders[path]
 
 
@@ -30,14 +30,18 @@ class Encoder:
 
     The vocabulary's own splitting starts a new piece at every blank that no white
     space follows, so ids of such a text are those of its chunks, one after the
-    other. Texts with other white space around blanks are encoded whole.
+    other. Texts with other white space around blanks are encoded whole. With `added`
+    the strings of the vocabulary's added tokens become these tokens, and texts that
+    hold one are encoded whole; without it such strings are ordinary text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._tokenizer.encode_special_tokens = not added
+        strings = [t.content for t in self._tokenizer.get_added_tokens_decoder().values() if t.content] if added else []
+        self._odd = re.compile("|".join([_ODD.pattern, *map(re.escape, strings)]))
         size = self._tokenizer.get_vocab_size()
         self._opens = np.zeros(size, np.bool_)
         for number in range(size):
@@ -72,7 +76,7 @@ class Encoder:
             self.trim()
             if len(self._chunks) > KEPT_CHUNKS // 4 * 3:
                 self._chunks.clear()
-        cut = [None if _ODD.search(t) or t[:1] == " " or t[-1:] == " " else t.split(" ") for t in texts]
+        cut = [None if self._odd.search(t) or t[:1] == " " or t[-1:] == " " else t.split(" ") for t in texts]
         known = self._chunks
         used = set()
         for chunks in cut:

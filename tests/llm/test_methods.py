@@ -226,6 +226,17 @@ def test_tokens_are_those_of_whole_texts(texts):
     assert [np.frombuffer(f, "<u4").tolist() for f in found] == [whole.encode(t, add_special_tokens=False).ids for t in some]
 
 
+def test_packing_keeps_added_tokens_of_the_vocabulary():
+    from tokenizers import Tokenizer
+
+    from lapwise.llm.tokens import encoder
+
+    plain = Tokenizer.from_file(vocabulary_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "a b c", "<|endoftext |> a"]
+    found = [np.frombuffer(f, "<u4").tolist() for f in encoder(vocabulary_path()).encode(texts)]
+    assert found == [plain.encode(t, add_special_tokens=False).ids for t in texts] and found[0] == [64, 220, 50256, 275]
+
+
 def test_cuts_fill_their_slots():
     for length in range(1, 3000, 7):
         pieces = list(cuts(length, 1024, 1 / 64))
