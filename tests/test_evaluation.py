@@ -2,7 +2,7 @@ import random
 
 import pandas as pd
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
