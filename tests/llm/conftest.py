@@ -1,12 +1,5 @@
-import os
-import sys
-
 import pytest
-
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
-from conftest_words import WORDS, passage  # noqa: E402
+from words import WORDS, passage
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, spans string, label double"
 

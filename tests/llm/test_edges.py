@@ -19,7 +19,7 @@ from lapwise.llm.urls import judge_urls
 
 @pytest.fixture(scope="module")
 def benchmark(spark):
-    from conftest_words import passage
+    from words import passage
 
     return spark.createDataFrame(
         [(1, passage(0, 20)), (2, passage(0, 20)), (3, None), (4, ""), (5, "one two"), (None, "x")], "item_id long, text string"
@@ -145,7 +145,7 @@ def test_near_duplicates(odd, none):
 
 
 def test_benchmark_items_without_an_id_are_searched(spark, odd):
-    from conftest_words import passage
+    from words import passage
 
     items = spark.createDataFrame([(None, passage(10, 30)), (None, passage(200, 20)), (3, passage(10, 20))], "item_id long, text string")
     found = {(r["doc_id"], r["n_words"]): r for r in contaminated(contamination(odd, items)).collect()}

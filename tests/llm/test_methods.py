@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest_words import passage
+from words import passage
 from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
