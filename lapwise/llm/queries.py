@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lapwise.catalog.registry import query
-from lapwise.llm import contamination, language, neardup, neighbours, packing, pii, repeats, sharding, toxicity, urls
+from lapwise.llm import contamination, language, neardup, neighbours, packing, pii, repeats, sharding, toxicity, urls, warc
 from lapwise.llm.common import table
 
 #: Name of the vocabulary file of the packing query.
@@ -126,6 +126,25 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "kept")
 
 
+_WARC_CHECK = """
+    WITH named AS (
+        SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+    ), firsts AS (
+        SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM named
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+    FROM firsts
+"""
+
+
+@query("op12_archives", _WARC_CHECK)
+def op12_archives(spark: SparkSession, folder: str) -> DataFrame:
+    bundles = warc.write_archives(table(spark, folder, "pages"))
+    return warc.read_archives(bundles).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
