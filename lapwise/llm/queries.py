@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lapwise.catalog.registry import query
-from lapwise.llm import contamination, language, neardup, neighbours, packing, pii, repeats, sharding, toxicity, urls, warc
+from lapwise.llm import contamination, language, neardup, neighbours, packing, phrases, pii, repeats, sharding, toxicity, urls, warc
 from lapwise.llm.common import table
 
 #: Name of the vocabulary file of the packing query.
@@ -145,6 +145,48 @@ def op12_archives(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_archives(bundles).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+_PHRASE_CHECK = """
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ), worded AS (
+        SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces
+    ), grams AS (
+        SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+        FROM worded, range(1, 5) AS lengths(m) WHERE len(w) >= m
+    ), counts AS (
+        SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL
+    ), sizes AS (
+        SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE m = 1 GROUP BY lang
+    ), candidates AS (
+        SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f AS a FROM counts WHERE m > 1 AND f >= 30
+    ), inner_phrases AS (
+        SELECT lang, a, unnest(flatten(list_transform(range(2, m), lambda k:
+            list_transform(range(1, m - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))))) AS phrase
+        FROM candidates
+    ), covered AS (
+        SELECT DISTINCT c.lang, c.phrase FROM candidates c JOIN inner_phrases i USING (lang, phrase) WHERE 100 * i.a >= 80 * c.a
+    ), cuts AS (
+        SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:m], ' ') AS rest
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) ANTI JOIN covered USING (lang, phrase)
+    ), scored AS (
+        SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, (CAST(2000000 AS HUGEINT) * c.a) // (x.f + y.f) AS score
+        FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.first JOIN counts y ON y.lang = c.lang AND y.phrase = c.rest
+    ), weakest AS (
+        SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+        CAST(score AS BIGINT) AS score
+    FROM weakest JOIN sizes USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@query("op13_collocations", _PHRASE_CHECK)
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
