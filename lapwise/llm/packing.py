@@ -110,7 +110,6 @@ def harmonic_pack(
             out += [(*piece, count, worker, place, None, None) for place, piece in enumerate(held)]
         if out:
             yield batch_of(out)
-        encoder(vocabulary).trim()
 
     id_type = docs.schema[id_col].dataType
     from pyspark.sql.pandas.types import to_arrow_type
