@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lapwise.session import ship, stage
+from lapwise.session import shared_folder, ship, stage
 
-__all__ = ["stage", "ship", "table", "digest", "utf8_bytes", "joined", "PrefixHash", "word_bounds", "mix"]
+__all__ = ["stage", "stage_large", "ship", "table", "digest", "utf8_bytes", "joined", "PrefixHash", "word_bounds", "mix"]
 
 #: Texts are handled in lots of about so many bytes, so that arrays of a lot stay small.
 LOT_BYTES = 1 << 19
@@ -20,6 +21,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def stage_large(df: DataFrame, label: str, group_bytes: int = 32 << 20, **options: str) -> DataFrame:
+    """`stage` for a table whose rows are megabytes each: small row groups, as a reader holds one of them."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.options(**options).option("parquet.block.size", group_bytes).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def digest(text: Column) -> Column:
     """Equal for equal texts; a missing text has its own value."""
     return F.coalesce(F.md5(F.encode(text, "UTF-8")), F.lit("missing"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lapwise.catalog.registry import query
-from lapwise.llm import contamination, language, neardup, neighbours, packing, phrases, pii, repeats, sharding, toxicity, urls, warc
+from lapwise.llm import (
+    alignment, contamination, language, neardup, neighbours, packing, phrases, pii, repeats, sharding, toxicity, urls, warc,
+)
 from lapwise.llm.common import table
 
 #: Name of the vocabulary file of the packing query.
@@ -126,6 +128,15 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "kept")
 
 
+#: The piece vocabulary that is aligned with the byte-level one.
+PIECES = "piece_bpe_32k.model"
+
+
+@query("op11_alignment")
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, folder, "documents"), vocabulary_path(), vocabulary_path(PIECES))
+
+
 _WARC_CHECK = """
     WITH named AS (
         SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages

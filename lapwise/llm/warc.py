@@ -15,8 +15,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lapwise.llm.common import ship
-from lapwise.session import shared_folder
+from lapwise.llm.common import ship, stage_large
 
 #: Raw bytes after which a frame, and after which a bundle, is closed.
 FRAME_BYTES, BUNDLE_BYTES = 1 << 18, 8 << 20
@@ -219,10 +218,8 @@ def write_archives(
     )
     schema = ("bundle string, records long, raw_bytes long, content binary, "
               "entries array<struct<record_id: string, frame: int, offset: long, length: long>>")
-    path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
-    # row groups of a few bundles, so that readers hold no more; the frames are compressed already
-    rows.mapInArrow(bundles, schema).write.option("parquet.block.size", 4 * bundle_bytes).option("compression", "none").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    # the frames are compressed already
+    return stage_large(rows.mapInArrow(bundles, schema), "warc", 4 * bundle_bytes, compression="none")
 
 
 def index(bundles: DataFrame) -> DataFrame:
