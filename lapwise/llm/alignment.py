@@ -17,9 +17,9 @@ from lapwise.llm.common import lots, ship, stage, stage_large
 from lapwise.llm.tokens import Encoder, token_bytes
 
 #: Text bytes of one block of documents, which is one stored row.
-BLOCK_TEXT = 4 << 20
+BLOCK_TEXT = 2 << 20
 #: Chunks between blanks kept by one worker, some 150 bytes each; beyond that it starts anew.
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 250_000
 _aligners: dict[tuple[str, str], "Aligner"] = {}
 
 
@@ -145,21 +145,27 @@ class Aligner:
         return self.align([b" " + text.encode()], a_ids, np.array([len(a_ids)]), [self._b.encode(text)])
 
     def block(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Counts and hash of the groups of each text; distinct units of the block, their pairs, and the units of each text.
+        """Counts and hash of the groups of each text; pairs of the distinct units of the block, one after the other, and how
+        many each unit has; the units of all texts in order, and how many each text has.
 
         A unit is a chunk, or a text that was aligned whole.
         """
-        lot = Lot([t.encode() for t in texts], blank_first=True)
+        self._numbers.room()
         blank = np.array([not t for t in texts], np.bool_)
-        single = ~lot.odd & ~blank if self._by_chunk else np.zeros(len(texts), np.bool_)
-        chosen = np.flatnonzero(single[lot.owner])
-        numbers = self._numbers.of(lot, chosen) if len(chosen) else chosen
-        owner = lot.owner[chosen]
-        bad = np.unique(owner[~self.good[numbers]])  # texts with a chunk that does not give its bytes, to be sure taken whole
-        single[bad] = False
+        single = ~blank if self._by_chunk else np.zeros(len(texts), np.bool_)
+        found: list[np.ndarray] = [np.zeros(0, np.int64)]
+        owners: list[np.ndarray] = [np.zeros(0, np.int64)]
+        for some in lots(map(len, texts)):
+            lot = Lot([t.encode() for t in texts[some]], blank_first=True)
+            single[some] &= ~lot.odd
+            chosen = np.flatnonzero(single[some][lot.owner])
+            found.append(self._numbers.of(lot, chosen))
+            owners.append(lot.owner[chosen] + some.start)
+        numbers, owner = np.concatenate(found), np.concatenate(owners)
+        single[owner[~self.good[numbers]]] = False  # texts with a chunk that does not give its bytes, to be sure taken whole
         live = single[owner]
         numbers, owner = numbers[live], owner[live]
-        units, first, unit = np.unique(numbers, return_index=True, return_inverse=True)
+        units, unit = np.unique(numbers, return_inverse=True)
         pairs, sizes = [self.pairs.take(units)], [self.pairs.sizes(units)]
         counts = np.zeros((len(texts), 4), np.int64)
         for column in range(4):
@@ -179,7 +185,9 @@ class Aligner:
                     extra.append(np.array([sum(map(len, sizes))]))
                     pairs.append(pair)
                     sizes.append(own[:1, 3])
-        return counts, hashes, np.concatenate(pairs), np.concatenate(sizes), np.concatenate(owners), np.concatenate(extra)
+        owner, unit = np.concatenate(owners), np.concatenate(extra)
+        order = np.argsort(owner, kind="stable")
+        return counts, hashes, np.concatenate(pairs), np.concatenate(sizes), unit[order], np.bincount(owner, minlength=len(texts))
 
 
 def aligner(a_path: str, b_path: str) -> Aligner:
@@ -189,6 +197,16 @@ def aligner(a_path: str, b_path: str) -> Aligner:
     return _aligners[a_path, b_path]
 
 
+def narrow(numbers: np.ndarray) -> bytes:
+    """Whole numbers with one, two or four bytes each, as many as the largest needs; the first byte tells."""
+    kind = np.min_scalar_type(int(numbers.max(initial=0)))
+    return bytes([kind.itemsize]) + numbers.astype(kind).tobytes()
+
+
+def widened(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
+
+
 _LISTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -204,7 +222,7 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
     (how often the pairs of its links are linked in the whole table, summed) and
     `groups_sha256` (of `a1,a2|b1;a3|b2,b3`).
 
-    Documents are aligned in blocks of 4 MB of text, each stored as one row with its
+    Documents are aligned in blocks of 2 MB of text, each stored as one row with its
     distinct pairs. Only these meet the counts of all pairs, so a frequent pair comes
     once from each block. A text longer than a block is a block of its own.
 
@@ -216,29 +234,29 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
     ship(spark)
     id_type = docs.schema[id_col].dataType
     arrow_id = to_arrow_type(id_type)
-    struct = pa.struct([("id", arrow_id), *[(n, pa.int64()) for n in _LISTS], ("sha", pa.string())])
+    struct = pa.struct([("id", arrow_id), *[(n, pa.int64()) for n in _LISTS], ("sha", pa.string()), ("units", pa.int64())])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids, texts = batch.column("id"), ["" if t is None else t for t in batch.column("text").to_pylist()]
             for lot in lots(map(len, texts), BLOCK_TEXT):
-                counts, hashes, pairs, sizes, owner, unit = aligner(a_path, b_path).block(texts[lot])
+                counts, hashes, pairs, sizes, unit, units = aligner(a_path, b_path).block(texts[lot])
                 distinct, pair = np.unique(pairs, return_inverse=True)
                 uses = np.bincount(unit, minlength=len(sizes)).astype(np.int64)
                 times = np.bincount(pair, np.repeat(uses, sizes), len(distinct)).astype(np.int64)
                 rows = pa.StructArray.from_arrays(
-                    [ids[lot], *[pa.array(counts[:, c].copy()) for c in range(4)], pa.array(hashes)], fields=list(struct))
+                    [ids[lot], *[pa.array(counts[:, c].copy()) for c in range(4)], pa.array(hashes), pa.array(units)], fields=list(struct))
                 cells = [pa.array([task << 32 | number], pa.int64()), pa.ListArray.from_arrays([0, len(rows)], rows),
                          pa.ListArray.from_arrays([0, len(distinct)], pa.array(distinct.view(np.int64))),
                          pa.ListArray.from_arrays([0, len(distinct)], pa.array(times))]
-                cells += [pa.array([some.astype(np.uint32).tobytes()], pa.binary()) for some in (pair, sizes, owner, unit)]
-                yield pa.RecordBatch.from_arrays(cells, names=["block", "rows", "pairs", "times", "pair", "sizes", "owner", "unit"])
+                cells += [pa.array([narrow(some)], pa.binary()) for some in (pair, sizes, unit)]
+                yield pa.RecordBatch.from_arrays(cells, names=["block", "rows", "pairs", "times", "pair", "sizes", "unit"])
                 number += 1
 
     kind = id_type.simpleString()
-    schema = (f"block long, rows array<struct<id: {kind}, {', '.join(f'{n}: long' for n in _LISTS)}, sha: string>>, "
-              "pairs array<long>, times array<long>, pair binary, sizes binary, owner binary, unit binary")
+    schema = (f"block long, rows array<struct<id: {kind}, {', '.join(f'{n}: long' for n in _LISTS)}, sha: string, units: long>>, "
+              "pairs array<long>, times array<long>, pair binary, sizes binary, unit binary")
     stored = stage_large(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(blocks, schema), "aligned")
 
     asked = stored.select("block", F.explode(F.arrays_zip("pairs", "times")).alias("p")).select("block", "p.pairs", "p.times")
@@ -254,15 +272,15 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
             for place in range(batch.num_rows):
                 rows = batch.column("rows")[place].values
                 told = batch.column("told")[place].values
-                pair, sizes, owner, unit = (
-                    np.frombuffer(batch.column(c)[place].as_py(), np.uint32).astype(np.int64) for c in ("pair", "sizes", "owner", "unit"))
-                sums = [np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)]
+                pair, sizes, unit = (widened(batch.column(c)[place].as_py()) for c in ("pair", "sizes", "unit"))
+                ends = np.cumsum(rows.field("units").to_numpy())
+                sums = [np.zeros(len(rows), np.int64)] * 2
                 if len(pair):
                     counts, best = told.field("n").to_numpy(), told.field("is_best").to_numpy(zero_copy_only=False).astype(np.int64)
                     heads = np.cumsum(sizes) - sizes
                     for which, values in enumerate((best, counts)):
-                        of_unit = np.add.reduceat(values[pair], heads)
-                        np.add.at(sums[which], owner, of_unit[unit])
+                        running = np.r_[0, np.cumsum(np.add.reduceat(values[pair], heads)[unit])]
+                        sums[which] = np.diff(running[np.r_[0, ends]])
                 fields = [rows.field(n) for n in ("id", *_LISTS)]
                 yield pa.RecordBatch.from_arrays(
                     [*fields, pa.array(sums[0]), pa.array(sums[1]), rows.field("sha")], names=[out_id, *_LISTS, "n_best", "count_sum", "groups_sha256"])
@@ -270,4 +288,4 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
     out_id = id_col
     wide = stored.drop("pairs", "times").join(answers, "block", "left")
     out = f"`{id_col}` {kind}, {', '.join(f'{n} long' for n in _LISTS)}, n_best long, count_sum long, groups_sha256 string"
-    return wide.select("rows", "told", "pair", "sizes", "owner", "unit").mapInArrow(filled, out)
+    return wide.select("rows", "told", "pair", "sizes", "unit").mapInArrow(filled, out)

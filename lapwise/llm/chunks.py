@@ -8,6 +8,8 @@ import numpy as np
 
 from lapwise.llm.common import PrefixHash, mix
 
+#: Chunks learned at once.
+LEARNED = 8192
 #: Added to the hash of a text's first chunk, which no blank precedes.
 _FIRST = np.uint64(0xA5B35705F0C3A7D1)
 # White space other than blanks and line ends, by its UTF-8 bytes.
@@ -56,19 +58,21 @@ class Numbers:
     """A number for each chunk met so far, by its 64-bit hash; what belongs to a number is kept by the user.
 
     `learn` gets the chunks that are new, in the order of their numbers, and whether
-    each stands first in its text. Beyond `most` chunks all are forgotten: `forget`
-    is called, and numbers start anew.
+    each stands first in its text, in lots that keep what it needs small. `room` is
+    called where no number is in use: beyond `most` chunks all are forgotten.
     """
 
     def __init__(self, most: int, learn: Callable[[list[str], list[bool]], None], forget: Callable[[], None]) -> None:
         self._most, self._learn, self._forget = most, learn, forget
         self._keys, self._numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
-    def of(self, lot: Lot, chosen: np.ndarray) -> np.ndarray:
-        """Numbers of the chosen chunks of a lot."""
+    def room(self) -> None:
         if len(self._keys) > self._most:
             self._keys, self._numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
             self._forget()
+
+    def of(self, lot: Lot, chosen: np.ndarray) -> np.ndarray:
+        """Numbers of the chosen chunks of a lot."""
         keys, at, back = np.unique(lot.keys[chosen], return_index=True, return_inverse=True)
         place = np.searchsorted(self._keys, keys)
         known = np.zeros(len(keys), np.bool_)
@@ -76,9 +80,8 @@ class Numbers:
         known[inside] = self._keys[place[inside]] == keys[inside]
         fresh = np.flatnonzero(~known)
         if len(fresh):
-            chunks = chosen[at[fresh]]
-            first = lot.starts[lot.owner[chunks]] == chunks
-            self._learn([lot.text(c) for c in chunks.tolist()], first.tolist())
+            for some in np.array_split(chosen[at[fresh]], -(-len(fresh) // LEARNED)):
+                self._learn([lot.text(c) for c in some.tolist()], (lot.starts[lot.owner[some]] == some).tolist())
             self._numbers = np.insert(self._numbers, place[fresh], len(self._keys) + np.arange(len(fresh)))
             self._keys = np.insert(self._keys, place[fresh], keys[fresh])
             place = np.searchsorted(self._keys, keys)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator, Sequence
+from functools import cached_property
 
 import numpy as np
 
@@ -40,7 +41,7 @@ def token_bytes(vocabulary: dict[str, int], added: Sequence[str]) -> dict[bytes,
     return {bytes(map(letter.__getitem__, entry)): number for entry, number in vocabulary.items() if entry not in added}
 
 
-def merger(path: str):
+def merger(path: str, told: dict):
     """A faster encoder of the same file, or None where the file is of another kind.
 
     It merges by the order of ids, so the file's merges must be in that order, and
@@ -48,8 +49,6 @@ def merger(path: str):
     """
     import tiktoken
 
-    with open(path, encoding="utf-8") as file:
-        told = json.load(file)
     model, split = told["model"], told["pre_tokenizer"] or {}
     plain = model["type"] == "BPE" and not told["normalizer"] and split.get("type") == "ByteLevel"
     if not plain or split["add_prefix_space"] or not split["use_regex"]:
@@ -84,23 +83,29 @@ class Encoder:
     """
 
     def __init__(self, path: str, added: bool = False) -> None:
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = not added
-        self._merger = merger(path)
-        strings = [t.content for t in self._tokenizer.get_added_tokens_decoder().values() if t.content] if added else []
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        self._path, self._with_added = path, added
+        self._merger = merger(path, told)
+        strings = [t["content"] for t in told["added_tokens"] if t["content"]] if added else []
         self._added = re.compile("|".join(map(re.escape, strings)) or "(?!)")
-        size = self._tokenizer.get_vocab_size()
-        self._opens = np.zeros(size, np.bool_)
-        for number in range(size):
-            self._opens[number] = (self._tokenizer.id_to_token(number) or "").startswith("Ġ")
+        self._opens = np.zeros(max([*told["model"]["vocab"].values(), *(t["id"] for t in told["added_tokens"])]) + 1, np.bool_)
+        self._opens[[number for entry, number in told["model"]["vocab"].items() if entry.startswith("Ġ")]] = True
         self._numbers = Numbers(KEPT_CHUNKS, self._learn, self._forget)
         self._forget()
 
     def _forget(self) -> None:
         self._known = Rows(np.uint32)
 
+    @cached_property
+    def _tokenizer(self):
+        """The library's own encoder, for other kinds of files and texts with added tokens."""
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(self._path)
+        made.encode_special_tokens = not self._with_added
+        return made
+
     def ids(self, text: str) -> np.ndarray:
         if self._merger is None or self._added.search(text):
             return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -150,6 +155,7 @@ class Encoder:
         if self._added.pattern != "(?!)":
             whole |= [self._added.search(text) is not None for text in texts]
         chosen = np.flatnonzero(~whole[lot.owner])
+        self._numbers.room()
         numbers = self._numbers.of(lot, chosen)
         sizes = np.bincount(lot.owner[chosen], self._known.sizes(numbers), len(texts)).astype(np.int64)
         ends = 4 * np.cumsum(sizes)
