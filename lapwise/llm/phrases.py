@@ -165,7 +165,7 @@ def _grouped(at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at[order[heads]], ordered[heads], np.diff(np.r_[heads, len(ordered)])
 
 
-_COUNTS = "lang string, length int, phrase string, hash long, n long"
+_SPELLED = "lang string, length int, phrase string, n long"
 
 
 def phrase_counts(
@@ -183,8 +183,10 @@ def phrase_counts(
     A scan knows what is active from two filters for each length, subphrases that
     have reached `least` and those that did so in the last cycle; a filter may say
     yes too often, so a phrase can be counted in a shard twice, with the same
-    number, of which one is taken. Counts of a lot of texts are taken on 64-bit
-    hashes; from there on the phrases themselves are the keys.
+    number, of which one is taken. The scans count 64-bit hashes of language and
+    phrase, whose collisions can only make a phrase active too early. A last pass
+    over the documents spells the phrases whose hash came to `least` and counts
+    these by their letters, so the result does not rest on hashes.
 
     Returns (`lang`, `length`, `phrase`, `f`) and (`lang`, `n`).
     """
@@ -207,10 +209,12 @@ def phrase_counts(
         scans.append((turn, number, found, lengths))
         news.append(_reached(scans, least, shards, longest))
         turn += 1
-    every = _totals([(t, s, rows) for t, s, rows, _ in scans], shards)
-    frequent = every.select("lang", "length", "phrase", F.col("now").alias("f")).where(F.col("f") >= least)
-    words = reduce(DataFrame.unionByName, [rows.where("length = 1") for _, _, rows, there in scans if 1 in there])
-    return stage(frequent, "frequent"), words.groupBy("lang").agg(F.sum("n").alias("n"))
+    every = _totals([(t, s, rows) for t, s, rows, _ in scans], shards).where(F.col("now") >= least)
+    often = stage(every.select("length", F.lit(0).alias("turn"), "hash"), "often")
+    wanted = {(r["length"], 0): r["count"] for r in often.groupBy("length").count().collect()}
+    spelled = stage(_spelled(spark, reduce(DataFrame.unionByName, parts), _filters(often, wanted) if wanted else {}), "spelled")
+    frequent = spelled.where(F.col("length") > 0).withColumnRenamed("n", "f").where(F.col("f") >= least)
+    return frequent, spelled.where("length = 0").select("lang", "n")
 
 
 def _dealt(docs: DataFrame, shards: int) -> list[DataFrame]:
@@ -227,29 +231,58 @@ def _scan(spark: SparkSession, part: DataFrame, words: bool, filters: dict[int,
     shared = spark.sparkContext.broadcast(filters)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        active = shared.value
-        codes: dict[str, int] = {}
-        names: list[str] = []
-        salts: list[int] = []
-        for batch in batches:
-            texts, langs = cut_long(batch.column("text").to_pylist(), batch.column("lang").to_pylist())
-            for name in langs:
-                if name not in codes:
-                    codes[name] = len(names)
-                    names.append(name)
-                    salts.append(lang_hash(name))
-            code = np.array([codes[name] for name in langs], np.int64)
-            salt = np.array(salts, np.uint64)[code]
-            for lot in lots(map(len, texts), TEXT_LOT):
-                tokens = Tokens(texts[lot], salt[lot])
-                for length, at, hashes, n in counted(tokens, words, active):
-                    yield pa.RecordBatch.from_arrays([
-                        pa.DictionaryArray.from_arrays(pa.array(code[lot][tokens.owner[at]], pa.int32()), pa.array(names)).cast(pa.string()),
-                        pa.array(np.full(len(at), length, np.int32)), tokens.texts(at, length), pa.array(hashes.view(np.int64)), pa.array(n),
-                    ], names=["lang", "length", "phrase", "hash", "n"])
-
-    found = part.select("lang", "text").mapInArrow(counts, _COUNTS)
-    return found.groupBy("lang", "length", "phrase").agg(F.min("hash").alias("hash"), F.sum("n").alias("n"))
+        for _, _, tokens in _lots_of(batches):
+            for length, _, hashes, n in counted(tokens, words, shared.value):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), length, np.int32)), pa.array(hashes.view(np.int64)), pa.array(n)], names=["length", "hash", "n"])
+
+    found = part.select("lang", "text").mapInArrow(counts, "length int, hash long, n long")
+    return found.groupBy("length", "hash").agg(F.sum("n").alias("n"))
+
+
+def _spelled(spark: SparkSession, docs: DataFrame, often: dict[tuple[int, int], Filter]) -> DataFrame:
+    """Exact counts of the phrases whose hashes are in the filters, and all words of each language under length 0."""
+    shared = spark.sparkContext.broadcast(often)
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters = {length: made for (length, _), made in shared.value.items()}
+
+        def rows(names, code, length, phrases, n):
+            lang = pa.DictionaryArray.from_arrays(pa.array(code, pa.int32()), pa.array(names)).cast(pa.string())
+            return pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(n), length, np.int32)), phrases, pa.array(n)],
+                                              names=["lang", "length", "phrase", "n"])
+
+        for names, code, tokens in _lots_of(batches):
+            n = np.bincount(code[tokens.owner], minlength=len(names))
+            there = np.flatnonzero(n)
+            yield rows(names, there, 0, pa.array([""] * len(there)), n[there])
+            at, hashes = np.arange(len(tokens.words)), tokens.words
+            for length in range(1, max(filters, default=0) + 1):
+                if length > 1:
+                    at, hashes = tokens.longer(at, hashes, length)
+                live = filters[length].has(hashes) if length in filters else np.zeros(len(at), np.bool_)
+                at, hashes = at[live], hashes[live]  # what begins with a rare phrase is rare
+                if len(at):
+                    first, _, count = _grouped(at, hashes)
+                    yield rows(names, code[tokens.owner[first]], length, tokens.texts(first, length), count)
+
+    return docs.mapInArrow(spelled, _SPELLED).groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n"))
+
+
+def _lots_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], np.ndarray, Tokens]]:
+    """Lots of texts: all languages so far, the place in them of each text's, and the words."""
+    codes: dict[str, int] = {}
+    salts: list[int] = []
+    for batch in batches:
+        texts, langs = cut_long(batch.column("text").to_pylist(), batch.column("lang").to_pylist())
+        for name in langs:
+            if name not in codes:
+                codes[name] = len(codes)
+                salts.append(lang_hash(name))
+        code = np.array([codes[name] for name in langs], np.int64)
+        salt = np.array(salts, np.uint64)[code]
+        for lot in lots(map(len, texts), TEXT_LOT):
+            yield list(codes), code[lot], Tokens(texts[lot], salt[lot])
 
 
 def cut_long(texts: list[bytes], langs: list[str], most: int = TEXT_LOT) -> tuple[list[bytes], list[str]]:
@@ -280,7 +313,7 @@ def _totals(scans: list[tuple[int, int, DataFrame]], shards: int) -> DataFrame:
     """Counts so far of each phrase, `now` and `before` the last of the scans; a shard counts once."""
     last = scans[-1][0]
     rows = reduce(DataFrame.unionByName, [
-        r.select("lang", "length", "phrase", "hash", F.lit(s).alias("shard"), F.lit(t).alias("turn"), "n") for t, s, r in scans
+        r.select("length", "hash", F.lit(s).alias("shard"), F.lit(t).alias("turn"), "n") for t, s, r in scans
     ])
 
     def total(old: bool) -> Column:
@@ -288,7 +321,7 @@ def _totals(scans: list[tuple[int, int, DataFrame]], shards: int) -> DataFrame:
             (F.coalesce(F.max(F.when((F.col("shard") == s) & ((F.col("turn") < last) if old else F.lit(True)), F.col("n"))), F.lit(0))
              for s in range(shards)), F.lit(0).cast("long"))
 
-    return rows.groupBy("lang", "length", "phrase").agg(F.min("hash").alias("hash"), total(False).alias("now"), total(True).alias("before"))
+    return rows.groupBy("length", "hash").agg(total(False).alias("now"), total(True).alias("before"))
 
 
 def _reached(
