@@ -190,6 +190,25 @@ def quarantine(spark, folder):
     )
 
 
+@query(
+    "quoted_records",
+    """SELECT CAST(event_id AS INT) AS event_id, event_type || chr(10) || chr(10) || '"' || event_id || '", end' AS Message, value AS Value
+    FROM events""",
+)
+def quoted_records(spark, folder):
+    """Texts with line breaks, quotes and commas, from files of three headers."""
+    import uuid
+
+    text = F.concat("event_type", F.lit('\n\n"'), F.col("event_id").cast("string"), F.lit('", end'))
+    events = table(spark, folder, "events").select("event_id", text.alias("Message"), F.col("value").alias("Value"), F.lit(1).alias("more"))
+    places = []
+    for share, names in enumerate((["event_id", "Message", "Value"], ["Value", "more", "event_id", "Message"], ["Message", "Value", "event_id"])):
+        places.append(f"{shared_folder(spark)}/quoted-{uuid.uuid4().hex}")
+        events.where(F.col("event_id") % 3 == share).select(*names).write.option("header", True).option("escape", '"').csv(places[-1])
+    good, _ = read_with_quarantine(spark, places, {"event_id": "int", "Message": "string", "Value": "double"})
+    return good
+
+
 PROFILED = {
     "customer": ("c_custkey AS id", "c_acctbal AS acctbal", "nullif(c_mktsegment, 'MACHINERY') AS segment"),
     "orders": ("o_orderkey AS id", "o_totalprice AS totalprice", "nullif(o_orderstatus, 'P') AS status"),

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lapwise.sources.tables import csv_lines, parsed_lines, read_table, typed
+from lapwise.session import stage
+from lapwise.sources.tables import csv_records, lacking, parsed_records, read_table, typed
 
 # Session tags.
 SESSION_TYPES = ("R", "Q", "FP1", "FP2", "FP3")
@@ -75,31 +75,25 @@ def _load_csv(spark: SparkSession, landed: list[tuple[int, int, str, str]], sche
     if not there:
         return None, skipped
     tags = spark.createDataFrame(there, "RACEYEAR int, RACENUMBER int, SESSIONTYPE string, path string, place string")
-    lines, headers = csv_lines(spark, [t[3] for t in there])
+    records, headers = csv_records(spark, [t[3] for t in there])
     # a file is known by its own path or by its folder's
     plain = F.regexp_replace(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))), "^[A-Za-z0-9]+:(//[^/]*)?/*", "/")
     places = F.explode(F.array("plain", F.regexp_replace("plain", "/[^/]*$", "")))
-    of_file = (
-        headers.withColumn("plain", plain).select("file", "header", places.alias("place")).join(tags, "place").drop("place")
-    )
-    tables, complete = [], []
-    for (header,) in sorted(headers.select("header").distinct().collect()):
-        if set(schema) <= set(next(csv.reader([header]))):
-            complete.append(header)
-            own = of_file.select(F.col("file").alias("__file"), F.struct("RACEYEAR", "RACENUMBER", "SESSIONTYPE").alias("__tags"))
-            rows = parsed_lines(lines, header).join(own, "__file")
-            tables.append(rows.select(*[typed(name, kind).alias(name) for name, kind in schema.items()], "__tags.*"))
-    whole = of_file.where(F.col("header").isin(complete)).select("path").distinct() if complete else None
-    found = {r[0] for r in whole.collect()} if whole else set()
-    lacking = {r["path"]: r["header"] for r in of_file.select("path", "header").distinct().collect() if r["path"] not in found}
+    of_file = stage(
+        headers.withColumn("plain", plain).select("file", places.alias("place")).join(tags, "place").drop("place")
+        .join(lacking(headers, schema), "file", "left"), "landed")
+    own = of_file.where("absent IS NULL").select(F.col("file").alias("__file"), "RACEYEAR", "RACENUMBER", "SESSIONTYPE")
+    rows = parsed_records(records, headers, schema).join(own, "__file")
+    found = rows.select(*[typed(name, kind).alias(name) for name, kind in schema.items()], "RACEYEAR", "RACENUMBER", "SESSIONTYPE")
+    told = of_file.groupBy("path").agg(F.bool_or(F.col("absent").isNull()).alias("whole"), F.first("absent", True).alias("absent")).collect()
+    known = {r["path"]: r for r in told}
     for *_, path, _ in there:
-        if path in lacking:
-            absent = [name for name in schema if name not in next(csv.reader([lacking[path]]))]
-            skipped.append((path, f"missing required columns: {', '.join(absent)}"))
-        elif path not in found:
+        if path not in known:
             skipped.append((path, "no header"))
+        elif not known[path]["whole"]:
+            skipped.append((path, f"missing required columns: {', '.join(known[path]['absent'])}"))
     order = {path: place for place, (*_, path) in enumerate(landed)}
-    return union_sessions(tables), sorted(skipped, key=lambda s: order[s[0]])
+    return found if any(r["whole"] for r in told) else None, sorted(skipped, key=lambda s: order[s[0]])
 
 
 def flatten_record(df: DataFrame, record: str) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lapwise.sources.reports import write_report
 from lapwise.sources.sessions import flatten_record, load_sessions, non_empty, session_manifest, tag_session, union_sessions
-from lapwise.sources.tables import read_table, read_with_quarantine, write_table
+from lapwise.sources.tables import _lines, joined_records, read_table, read_with_quarantine, write_table
 
 LAYOUT = {"Lap": "int", "Time": "duration", "Wet": "boolean", "Name": "string", "Speed": "double"}
 
@@ -60,6 +60,44 @@ def test_fields_go_by_the_header_of_their_own_file(spark, tmp_path):
         read_with_quarantine(spark, [three], {"x": "int"})
 
 
+def test_line_breaks_in_quotes_stay_in_their_record(spark, tmp_path):
+    one = land(tmp_path, "one.csv", 'x,s\n1,"two\nlines"\n2,plain\n3,"a ""quoted"" word"\n4,"three\n\nlines, here"\n5,end\n')
+    two = land(tmp_path, "two.csv", 's,x\n"b,c",6\nd,7\n')
+    good, bad = read_with_quarantine(spark, [one, two], {"x": "int", "s": "string"})
+    assert rows(good) == [(1, "two\nlines"), (2, "plain"), (3, 'a "quoted" word'), (4, "three\n\nlines, here"), (5, "end"), (6, "b,c"), (7, "d")]
+    assert bad.count() == 0
+
+
+def test_records_go_over_splits_and_open_quotes_are_set_aside(spark, tmp_path):
+    text = "x,s\n" + "".join(f'{i},"first {i}\nsecond ""{i}""\nthird"\n{i},plain {i}\n' for i in range(300))
+    path = land(tmp_path, "long.csv", text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        good, bad = read_with_quarantine(spark, [path], {"x": "int", "s": "string"})
+        assert good.rdd.getNumPartitions() > 0 and bad.count() == 0
+        assert rows(good) == sorted([(i, f'first {i}\nsecond "{i}"\nthird') for i in range(300)] + [(i, f"plain {i}") for i in range(300)])
+        blocks = spark.read.text(path).select("_metadata.file_block_start").distinct().count()
+        assert blocks > 5
+        open_quote = land(tmp_path, "open.csv", 'x,s\n1,a\n2,"never closed\n' + "".join(f"{i},b\n" for i in range(3, 40)))
+        records = joined_records(_lines(spark, [open_quote]), most_lines=20)
+        assert records.count() == 40
+        good, bad = read_with_quarantine(spark, [open_quote], {"x": "int", "s": "string"})
+        assert rows(good) == [(1, "a")] and bad.count() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_one_scan_for_many_headers(spark, tmp_path):
+    names = ["a", "b", "c"]
+    for n in range(6):
+        order = names[n % 3 :] + names[: n % 3] + [f"extra{n}"]
+        land(tmp_path, f"{n}.csv", ",".join(order) + "\n" + ",".join(f"{c}{n}" for c in order) + "\n")
+    good, bad = read_with_quarantine(spark, [str(tmp_path)], dict.fromkeys(names, "string"))
+    assert rows(good) == [(f"a{n}", f"b{n}", f"c{n}") for n in range(6)] and bad.count() == 0
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" text") == 1
+
+
 def test_sessions_of_any_header_are_read_together(spark, tmp_path):
     (tmp_path / "a folder+1").mkdir()
     one = land(tmp_path, "one.csv", "Lap,Name\n1,A\n")
