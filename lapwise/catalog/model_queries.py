@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from lapwise.catalog.registry import query
 from lapwise.catalog.standins import duck, selected, table
@@ -14,6 +14,7 @@ from lapwise.ml.split import stratified_split
 from lapwise.ml.train import (
     feature_importance, permutation_importance, position_model, predictions, random_search, winner_model, with_shuffled,
 )
+from lapwise.ml.trees import class_curve, contributions, curve
 from lapwise.operators.evaluation import (
     auc, class_weight, classification_report, confusion_matrix, losses, mean_of_first, ovr_auc, roc_points, split_sizes,
     with_class_weight,
@@ -444,3 +445,63 @@ def model_losses(spark, folder):
     rated = stratified_split(scored, "label", ["EntryId"]).withColumn("probabilities", F.array(1 - F.col("score"), "score"))
     found = losses(rated, "label")
     return found.select("split", F.round("log_loss", 9).alias("log_loss"), F.round("error", 9).alias("error"))
+
+
+@query(
+    "threshold_curve",
+    """SELECT split, r AS round, true AS exact, true AS falls, 0.0 AS error, 1.0 AS auc
+    FROM (VALUES ('train'), ('validation'), ('test')) AS sets(split), range(1, 4) AS rounds(r)""",
+)
+def threshold_curve(spark, folder):
+    """Metrics after each round for a label that one threshold decides; the last round's loss is that of the finished model."""
+    _, _, encoded, model, _ = _decided(spark, folder)
+    found = curve(model, encoded, ["EntryId"], by=["split"])
+    own = F.get("probabilities", F.col("label").cast("int"))
+    final = predictions(model, encoded, ["EntryId", "label", "split"]).groupBy("split").agg((-F.avg(F.ln(own))).alias("final"))
+    before = F.lag("log_loss").over(Window.partitionBy("split").orderBy("round"))
+    return found.join(final, "split").withColumn("before", before).select(
+        "split", F.col("round").cast("long").alias("round"),
+        ((F.col("round") < TREES) | (F.abs(F.col("log_loss") - F.col("final")) < 1e-9)).alias("exact"),
+        F.coalesce(F.col("log_loss") < F.col("before"), F.lit(True)).alias("falls"),
+        F.col("error").cast("decimal(2,1)").alias("error"), F.col("auc").cast("decimal(2,1)").alias("auc"),
+    )
+
+
+@query(
+    "threshold_contributions",
+    f"SELECT EntryId, true AS whole, true AS grid_alone FROM ({DECIDED})",
+)
+def threshold_contributions(spark, folder):
+    """Contributions and the base sum to the margin of every row, and all of them are the deciding column's."""
+    _, encoder, encoded, model, numbers = _decided(spark, folder)
+    names = list(feature_names(encoder, TEXTS, numbers, model.numFeatures))
+    found = contributions(model, encoded, ["EntryId"])
+    sums = found.groupBy("EntryId").agg(
+        F.sum("contribution").alias("total"),
+        F.bool_and(F.col("feature").isNull() | (F.col("feature") == names.index("grid")) | (F.abs("contribution") < 1e-12)).alias("grid_alone"),
+    )
+    margin = model.transform(encoded).select("EntryId", vector_to_array("rawPrediction")[1].alias("margin"))
+    return sums.join(margin, "EntryId").select("EntryId", (F.abs(F.col("total") - F.col("margin")) < 1e-9).alias("whole"), "grid_alone")
+
+
+@query(
+    "boosted_classes",
+    f"""SELECT 'rows' AS what, 0 AS round, CAST(count(*) AS BIGINT) AS n, true AS good FROM ({DECIDED})
+    UNION ALL SELECT 'mlogloss', r, 0, true FROM range(1, 4) AS rounds(r)""",
+)
+def boosted_classes(spark, folder):
+    """Three classes by thresholds, one boosted model each: chances sum to 1 and find the class, and the last round's loss is the final one."""
+    _, _, encoded, _, _ = _decided(spark, folder)
+    entries = selected(table(spark, folder, "orders"), ENTRIES).select(
+        "EntryId", F.when(F.col("grid") < 7, 0.0).when(F.col("grid") < 14, 1.0).otherwise(2.0).alias("third"))
+    rows = stage(encoded.drop("label").join(entries, "EntryId").withColumnRenamed("third", "label"), "thirds")
+    model = position_model(kind="boosted", maxIter=TREES, maxDepth=3).fit(rows.where("split = 'train'"))
+    rated = predictions(model, rows, ["EntryId", "label"]).withColumn("whole", F.lit("all"))
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, b: a + b)
+    good = (F.abs(total - 1) < 1e-9) & (F.col("prediction") == F.col("label"))
+    final = losses(rated, "label", "whole").select(F.col("log_loss").alias("final"))
+    rounds = class_curve(model, rows, ["EntryId"]).crossJoin(F.broadcast(final)).select(
+        F.lit("mlogloss").alias("what"), F.col("round").cast("long").alias("round"), F.lit(0).cast("long").alias("n"),
+        ((F.col("merror") == 0) & ((F.col("round") < TREES) | (F.abs(F.col("mlogloss") - F.col("final")) < 1e-9))).alias("good"))
+    return rated.agg(F.count(F.lit(1)).alias("n"), F.bool_and(good).alias("good")).select(
+        F.lit("rows").alias("what"), F.lit(0).cast("long").alias("round"), "n", "good").unionByName(rounds)

@@ -13,6 +13,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lapwise.ml.split import stratified_folds
+from lapwise.ml.trees import softmax
 from lapwise.session import stage
 
 Draw = Callable[[random.Random], float | int | str]
@@ -110,13 +111,16 @@ def feature_importance(spark: SparkSession, model: Model, names: Sequence[str])
 
 
 def predictions(model: Model, encoded: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Kept columns with the predicted class number and, where the model has them, class probabilities."""
+    """Kept columns with the predicted class number and class probabilities.
+
+    One boosted model for each class gives margins, whose softmax are probabilities.
+    """
     scored = model.transform(encoded)
     extra = [F.col("prediction")]
     if "probability" in scored.columns:
         extra.append(vector_to_array("probability").alias("probabilities"))
     elif "rawPrediction" in scored.columns:
-        extra.append(vector_to_array("rawPrediction").alias("probabilities"))
+        extra.append(softmax(vector_to_array("rawPrediction")).alias("probabilities"))
     return scored.select(*keep, *extra)
 
 
