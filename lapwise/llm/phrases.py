@@ -169,7 +169,7 @@ _SPELLED = "lang string, length int, phrase string, n long"
 
 
 def phrase_counts(
-    docs: DataFrame, longest: int = 4, least: int = 30, shards: int = 3, lang_col: str = "lang", text_col: str = "text"
+    docs: DataFrame, longest: int = 4, least: int = 30, shards: int = 2, lang_col: str = "lang", text_col: str = "text"
 ) -> tuple[DataFrame, DataFrame]:
     """Exact counts of all phrases of up to `longest` words with at least `least` occurrences, and all words of each language.
 
@@ -354,7 +354,7 @@ def _active(
 
 def collocations(
     docs: DataFrame, longest: int = 4, least: int = 30, covered: tuple[int, int] = (4, 5), best: int = 2000,
-    shards: int = 3, lang_col: str = "lang", text_col: str = "text",
+    shards: int = 2, lang_col: str = "lang", text_col: str = "text",
 ) -> DataFrame:
     """The phrases of each language whose words belong together most, by their weakest cut.
 
