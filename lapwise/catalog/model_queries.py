@@ -499,9 +499,9 @@ def boosted_classes(spark, folder):
     rated = predictions(model, rows, ["EntryId", "label"]).withColumn("whole", F.lit("all"))
     total = F.aggregate("probabilities", F.lit(0.0), lambda a, b: a + b)
     good = (F.abs(total - 1) < 1e-9) & (F.col("prediction") == F.col("label"))
-    final = losses(rated, "label", "whole").select(F.col("log_loss").alias("final"))
-    rounds = class_curve(model, rows, ["EntryId"]).crossJoin(F.broadcast(final)).select(
+    final = losses(rated, "label", "whole").first()["log_loss"]
+    rounds = class_curve(model, rows, ["EntryId"]).select(
         F.lit("mlogloss").alias("what"), F.col("round").cast("long").alias("round"), F.lit(0).cast("long").alias("n"),
-        ((F.col("merror") == 0) & ((F.col("round") < TREES) | (F.abs(F.col("mlogloss") - F.col("final")) < 1e-9))).alias("good"))
+        ((F.col("merror") == 0) & ((F.col("round") < TREES) | (F.abs(F.col("mlogloss") - F.lit(final)) < 1e-9))).alias("good"))
     return rated.agg(F.count(F.lit(1)).alias("n"), F.bool_and(good).alias("good")).select(
         F.lit("rows").alias("what"), F.lit(0).cast("long").alias("round"), "n", "good").unionByName(rounds)

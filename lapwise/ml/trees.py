@@ -13,9 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from lapwise.operators.evaluation import auc
 from lapwise.session import shared_folder, stage
 
-#: Node tables up to so many rows (some 100 bytes each) are sent to every executor.
-BROADCAST_NODES = 200_000
-
 
 def tree_nodes(spark: SparkSession, model: Model) -> DataFrame:
     """The nodes of a boosted model, read from its stored form: one row for each `tree` and `node`.
@@ -47,12 +44,11 @@ def tree_paths(model: Model, rows: DataFrame, ids: Sequence[str], features: str
     """One row for each row and tree: `base` (the root's value), `steps` (feature and change of the value at each split) and `out`.
 
     Every row starts at the root of every tree and meets the table of nodes once for
-    each level. That table is broadcast up to `BROADCAST_NODES` nodes; beyond that it
-    is joined by tree and node.
+    each level. That table is stored, so its size is known: Spark sends it to the
+    executors while it is under the session's threshold and joins by tree and node
+    beyond that.
     """
-    spark = rows.sparkSession
-    nodes = tree_nodes(spark, model)
-    known = F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes
+    nodes = tree_nodes(rows.sparkSession, model)
     depth = max(tree.depth for tree in model.trees)
     roots = nodes.where("node = 0").select(F.col("tree").alias("__tree"), F.col("value").alias("base"))
     trees = len(model.trees)
@@ -64,13 +60,13 @@ def tree_paths(model: Model, rows: DataFrame, ids: Sequence[str], features: str
         goes_left = F.when(F.col("categories").isNull(), asked <= F.col("threshold")).otherwise(F.array_contains("categories", asked))
         step = F.struct(F.col("feature"), (F.when(goes_left, F.col("left_value")).otherwise(F.col("right_value")) - F.col("value")).alias("change"))
         split = F.col("feature").isNotNull()
-        at = at.join(known, ["tree", "node"]).select(
+        at = at.join(nodes, ["tree", "node"]).select(
             *ids, "__x", "tree",
             F.when(~split, F.col("node")).when(goes_left, F.col("left")).otherwise(F.col("right")).alias("node"),
             F.when(split, F.concat("steps", F.array(step))).otherwise(F.col("steps")).alias("steps"),
         )
     out = F.aggregate("steps", F.col("base"), lambda total, s: total + s["change"])
-    return at.join(F.broadcast(roots), at["tree"] == F.col("__tree")).select(*ids, "tree", "base", "steps", out.alias("out"))
+    return at.join(roots, at["tree"] == F.col("__tree")).select(*ids, "tree", "base", "steps", out.alias("out"))
 
 
 def contributions(model: Model, rows: DataFrame, ids: Sequence[str]) -> DataFrame:
@@ -88,10 +84,11 @@ def contributions(model: Model, rows: DataFrame, ids: Sequence[str]) -> DataFram
 
 def mean_contributions(found: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Mean absolute contribution of each feature over all rows, greatest first; features that no path of a row meets count 0 there."""
-    totals = found.where("feature IS NULL").groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
-    sums = found.where("feature IS NOT NULL").groupBy(*by, "feature").agg(F.sum(F.abs("contribution")).alias("total"))
-    joined = sums.join(totals, list(by)) if by else sums.crossJoin(F.broadcast(totals))
-    return joined.select(*by, "feature", (F.col("total") / F.col("rows")).alias("mean_abs")).orderBy(F.desc("mean_abs"), "feature")
+    sums = found.groupBy(*by, "feature").agg(F.count(F.lit(1)).alias("n"), F.sum(F.abs("contribution")).alias("total"))
+    # every row has one base, so its count is that of the rows; by now there is one row for each feature
+    rows = F.max(F.when(F.col("feature").isNull(), F.col("n"))).over(Window.partitionBy(*(by or [F.lit(0)])))
+    means = sums.withColumn("mean_abs", F.col("total") / rows).where("feature IS NOT NULL")
+    return means.select(*by, "feature", "mean_abs").orderBy(F.desc("mean_abs"), "feature")
 
 
 def margins_by_round(model: Model, rows: DataFrame, ids: Sequence[str]) -> DataFrame:
