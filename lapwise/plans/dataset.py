@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from lapwise.keys import SESSION
 from lapwise.operators.columns import add_prefix, drop_if_present, drop_matching, leakage_guard
-from lapwise.operators.joins import compare_to_group, wide_join
+from lapwise.operators.joins import best_of_sides, compare_to_group, heavy_keys, wide_join
 from lapwise.operators.summaries import COMPOUNDS, MESSAGES, WEATHER_STATS
 
 PRACTICES = ("FP1", "FP2", "FP3")
@@ -46,9 +46,8 @@ def _clean_practice(table: DataFrame, session: str) -> DataFrame:
 def full_dataset(race: DataFrame, qualifying: DataFrame, practice: Mapping[str, DataFrame]) -> DataFrame:
     """Race rows with practice and qualifying columns and each driver's pace against the best.
 
-    Pass stored session tables. They are read twice, once whole and once for the few
-    columns whose best is sought; staging the several hundred joined columns instead
-    would write and read them all.
+    Pass stored session tables. They are joined once; practice and qualifying tables are
+    read a second time for the few columns whose best is sought, the race table for its keys.
     """
     base_keys = [*SESSION, "Abbreviation"]
     qualifying = drop_if_present(qualifying, ["Unnamed: 0", "Position", "Driver"])
@@ -56,8 +55,11 @@ def full_dataset(race: DataFrame, qualifying: DataFrame, practice: Mapping[str,
     sides = [
         (_clean_practice(practice[p], p), base_keys, [f"{p}_{k}" for k in (*SESSION, "Driver")]) for p in PRACTICES
     ]
-    wide = wide_join(race, [*sides, (qualifying, base_keys, base_keys)])
-    compared = compare_to_group(wide, COMPARED, SESSION, spread_by=["Abbreviation"])
+    sides.append((qualifying, base_keys, base_keys))
+    compared = compare_to_group(
+        wide_join(race, sides), COMPARED, SESSION, ["Abbreviation"],
+        best=best_of_sides(race, sides, COMPARED), heavy=heavy_keys(race, SESSION),
+    )
     return drop_if_present(
         compared,
         [

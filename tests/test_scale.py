@@ -9,7 +9,7 @@ from pyspark.sql import Window, functions as F
 from __spark_entry__ import queries
 from lapwise.catalog.standins import view
 from lapwise.operators.correlation import correlation_table, target_correlation_table
-from lapwise.operators.joins import _share, join_session
+from lapwise.operators.joins import _copies, _share, best_of_sides, compare_to_group, heavy_keys, join_session, wide_join
 from lapwise.operators.running import fill_forward_backward, running_sum, with_pieces
 from lapwise.operators.segments import consecutive_gaps, segment_ends
 from lapwise.operators.summaries import lap_summary, sector_summary, status_counts, weather_summary
@@ -104,6 +104,67 @@ def test_a_hot_session_is_spread_over_its_shares(spark):
     assert joined.count() == 8000 and joined.filter("v = 'x'").count() == 8000
 
 
+def skewed(spark):
+    """A third of all rows in one session, a third without a session, the rest even."""
+    n = F.col("id")
+    return spark.range(9000).select(
+        F.when(n % 3 == 1, None).otherwise(2023).cast("int").alias("RACEYEAR"),
+        F.when(n % 3 == 0, 1).otherwise(2 + n % 50).cast("int").alias("RACENUMBER"), "id",
+    )
+
+
+def test_only_hot_sessions_are_cut_and_by_their_size(spark):
+    rows = skewed(spark)
+    assert heavy_keys(rows, ["RACEYEAR", "RACENUMBER"], 8) == {}  # below the size worth a cut
+    heavy = heavy_keys(rows, ["RACEYEAR", "RACENUMBER"], 8, least=1000)
+    assert list(heavy) == [4] and len(heavy[4]) == 1  # 3000 of 9000 rows are 2.7 even tasks of eight
+    many = heavy_keys(rows, ["RACEYEAR", "RACENUMBER"], 64, least=1000)
+    assert list(many) == [32] and len(many[32]) == 1
+    by_year = heavy_keys(rows, ["RACEYEAR"], 8, least=1000)
+    assert {k: len(v) for k, v in by_year.items()} == {8: 1, 4: 1}  # missing years are a key as well
+    copies = rows.select("*", _copies(["RACEYEAR"], rows.schema, by_year).alias("copies"))
+    assert {tuple(r) for r in copies.select("RACEYEAR", "copies").distinct().collect()} == {(2023, 8), (None, 4)}
+    shares = copies.groupBy("RACEYEAR", _share(["id"], F.col("copies"))).count().agg(F.max("count"), F.count("*")).first()
+    assert shares[1] == 12 and shares[0] < 1.3 * 6000 / 8
+    assert heavy_keys(rows.where("id < 0"), ["RACEYEAR"], 8, least=0) == {}
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_cut_sessions_join_as_plain_ones(spark, how):
+    rows = skewed(spark)
+    # keys of another type on the session side, one session that no row meets
+    sessions = spark.createDataFrame([(2023, float(i), f"v{i}") for i in range(60)], "RACEYEAR long, RACENUMBER double, v string")
+    heavy = heavy_keys(rows, ["RACEYEAR", "RACENUMBER"], 8, least=100)
+    assert heavy
+    cut = join_session(rows, sessions, how=how, heavy=heavy)
+    plain = join_session(rows, sessions, how=how, heavy={})
+    assert cut.columns == plain.columns and cut.count() == (9000 if how == "left" else 6000)
+    assert cut.exceptAll(plain).isEmpty() and "__share" not in plan(plain)
+
+
+def test_best_of_sides_is_the_best_of_the_wide_join(spark):
+    key = "RACEYEAR int, RACENUMBER int,"
+    base = stage(spark.createDataFrame([(2023, 1, "A"), (2023, 1, "A"), (2023, 1, "B"), (2023, 2, "A"), (2023, 3, None), (None, 1, "A")], f"{key} Abbreviation string"), "base")
+    one = stage(spark.createDataFrame([(2023, 1, "A", 5.0), (2023, 1, "C", 1.0), (2023, 2, "A", None), (2023, 3, None, 2.0), (None, 1, "A", 3.0)], "y int, n int, d string, a double"), "one")
+    two = stage(spark.createDataFrame([(2023, 1, "B", 7.0, 1.0), (2023, 1, "B", 6.0, None), (2023, 2, "Z", 1.0, 1.0)], f"{key} Abbreviation string, b double, other double"), "two")
+    on = ["RACEYEAR", "RACENUMBER", "Abbreviation"]
+    sides = [(one, on, ["y", "n", "d"]), (two, on, on)]
+    wide = wide_join(base, sides)
+    plain = compare_to_group(wide, ["a", "b"])
+    other = compare_to_group(wide, ["a", "b"], best=best_of_sides(base, sides, ["a", "b"]))
+    assert plain.count() == 7 and plain.exceptAll(other).isEmpty() and other.exceptAll(plain).isEmpty()
+    assert other.where("RACENUMBER = 1 AND RACEYEAR = 2023").agg(F.min("OverallSession_a"), F.max("OverallSession_b")).first() == (5.0, 6.0)
+    found = plan(other)
+    assert [len(re.findall(rf"FileScan parquet [^\n]*/{name}-", found)) for name in ("one", "two")] == [2, 2]
+
+
+def test_full_dataset_reads_each_side_at_most_twice(spark, small):
+    found = plan(queries()["full_dataset"](spark, small))
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*?staged-[^\n]*?/(FP1|FP2|FP3|qualifying|race)-", found)
+    names = [name for _, name in scans]
+    assert names and all(names.count(name) <= 2 for name in names)
+
+
 def test_joins_are_right_without_any_broadcast(spark, small):
     """The same rows when every join has to shuffle both sides."""
     names = ["comparative_pace", "expand_session_left", "join_session", "driver_points", "fill_within_race"]
