@@ -31,6 +31,7 @@ def main() -> None:
     one.add_argument("out")
     one.add_argument("--format", default="csv")
     one.add_argument("--layout", default=LAYOUT)
+    one.add_argument("--rerun", action="store_true", help="replace only the sessions that have landed")
     two = commands.add_parser("report", help="report tables from built datasets")
     two.add_argument("out")
     two.add_argument("--wide", action="store_true", help="a column for each driver, team and location")
@@ -48,7 +49,7 @@ def main() -> None:
     spark = SparkSession.builder.appName("lapwise").getOrCreate()
 
     if options.command == "build":
-        build(spark, options.root, options.out, options.format, options.layout)
+        build(spark, options.root, options.out, options.format, options.layout, rerun=options.rerun)
     elif options.command == "report":
         for name, table in reports(spark.read.parquet(f"{options.out}/full"), options.wide).items():
             write_table(table, f"{options.out}/reports/{name}")

@@ -6,8 +6,9 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window, functions as F
 
-from lapwise.catalog.registry import query
+from lapwise.catalog.registry import CHECKS, query
 from lapwise.catalog.standins import duck, selected, table
+from lapwise.ml.dictionary import class_numbers, dictionary, fit_encoder
 from lapwise.ml.evaluate import evaluate
 from lapwise.ml.prep import build_preprocessor, encode_label, feature_names
 from lapwise.ml.split import stratified_split
@@ -218,6 +219,49 @@ def encoded_features(spark, folder):
     return values.select("EntryId", *[(F.round(F.col("f")[i], 6) + 0.0).alias(f"f{i}") for i in range(width)])
 
 
+#: Columns whose values the dictionary numbers, as text: few, more and one for each customer.
+WORDS = {"priority": "o_orderpriority", "status": "o_orderstatus", "entrant": "CAST(o_custkey AS VARCHAR)"}
+
+
+@query(
+    "dictionary_numbers",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", value, CAST(row_number() OVER (ORDER BY value) - 1 AS BIGINT) AS number
+        FROM (SELECT DISTINCT {rule} AS value FROM orders)""" for name, rule in WORDS.items()
+    ),
+)
+def dictionary_numbers(spark, folder):
+    """Every category of three columns with its number in text order."""
+    orders = table(spark, folder, "orders")
+    named = orders.select(
+        F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("entrant")
+    )
+    return dictionary(named, list(WORDS))
+
+
+@query(
+    "dictionary_features",
+    CHECKS["encoded_features"],
+)
+def dictionary_features(spark, folder):
+    """The vectors of `encoded_features` by a stored dictionary and joins."""
+    entries = selected(table(spark, folder, "orders"), ENTRIES)
+    encoded = fit_encoder(entries, TEXTS, NUMBERS).transform(entries)
+    values = encoded.select("EntryId", vector_to_array("features").alias("f"))
+    width = len(PRIORITIES) + len(STATUSES) + len(NUMBERS)
+    return values.select("EntryId", *[(F.round(F.col("f")[i], 6) + 0.0).alias(f"f{i}") for i in range(width)])
+
+
+@query(
+    "class_numbers",
+    """SELECT CAST(o_custkey AS VARCHAR) AS value, CAST(row_number() OVER (ORDER BY o_custkey) - 1 AS BIGINT) AS number
+    FROM (SELECT DISTINCT o_custkey FROM orders)""",
+)
+def numbered_classes(spark, folder):
+    """Number classes are numbered by size: 2 before 10."""
+    return class_numbers(table(spark, folder, "orders"), "o_custkey")
+
+
 @query(
     "unseen_category",
     f"""WITH entries AS (SELECT {duck(ENTRIES)} FROM orders)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lapwise.catalog.registry import query
@@ -15,7 +17,7 @@ from lapwise.operators.reshape import min_max_scale
 from lapwise.operators.columns import top_k
 from lapwise.session import shared_folder
 from lapwise.sources.sessions import flatten_record, session_manifest, tag_session, union_sessions
-from lapwise.sources.tables import read_table, read_with_quarantine, write_table
+from lapwise.sources.tables import read_sessions, read_table, read_with_quarantine, write_sessions, write_table
 
 CLOCK = "(date_part('hour', ts) * 3600000000 + date_part('minute', ts) * 60000000 + date_part('microseconds', ts))"
 CLOCK_MS = f"{CLOCK} / 1000.0"
@@ -264,3 +266,18 @@ def scaled(spark, folder):
 )
 def dearest(spark, folder):
     return top_k(table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", 30, ["o_orderkey"])
+
+
+@query(
+    "rerun_sessions",
+    f"""{with_views('results')} SELECT RACEYEAR, RACENUMBER, EntryId, DriverId, Points + CASE WHEN RACENUMBER = 3 THEN 1 ELSE 0 END AS Points
+    FROM results WHERE NOT (RACENUMBER = 3 AND EntryId % 2 = 0)""",
+)
+def rerun_sessions(spark, folder):
+    """All races stored by session, then the third of each season again, with other points and fewer entries."""
+    results = view(spark, folder, "results").select("RACEYEAR", "RACENUMBER", "EntryId", "DriverId", "Points")
+    path = f"{shared_folder(spark)}/sessions-{uuid.uuid4().hex}"
+    write_sessions(results, path)
+    again = results.where("RACENUMBER = 3 AND EntryId % 2 = 1").withColumn("Points", F.col("Points") + 1)
+    write_sessions(again, path, rerun=True)
+    return read_sessions(spark, path, results.schema)

@@ -12,7 +12,7 @@ from lapwise.plans.dataset import PRACTICES, before_race_dataset, full_dataset
 from lapwise.plans.sessions import practice_table, qualifying_table, race_table
 from lapwise.session import stage
 from lapwise.sources import schemas
-from lapwise.sources.tables import read_table, write_table
+from lapwise.sources.tables import read_sessions, read_table, write_sessions, write_table
 
 LAYOUT = "{root}/{session}/{table}"
 SESSION_TABLES = {"laps": schemas.LAPS, "weather": schemas.WEATHER, "track_status": schemas.TRACK_STATUS}
@@ -48,12 +48,18 @@ def session_tables(spark: SparkSession, root: str, fmt: str = "csv", layout: str
 
 
 def build(
-    spark: SparkSession, root: str, out: str, fmt: str = "csv", layout: str = LAYOUT, out_fmt: str = "parquet"
+    spark: SparkSession, root: str, out: str, fmt: str = "csv", layout: str = LAYOUT, out_fmt: str = "parquet",
+    rerun: bool = False,
 ) -> dict[str, DataFrame]:
-    """Write the session tables and both datasets under `out`; give them back as stored."""
+    """Write the session tables and both datasets under `out`; give them back as stored.
+
+    Session tables have a folder for each season and race. With `rerun` the landed tables hold
+    some sessions only: theirs are replaced, all others stay, and the datasets are made of all.
+    """
+    stored = {}
     for name, df in session_tables(spark, root, fmt, layout).items():
-        write_table(df, f"{out}/{name}", "parquet")
-    stored = {name: spark.read.parquet(f"{out}/{name}") for name in ("race", "qualifying", *PRACTICES)}
+        write_sessions(df, f"{out}/{name}", rerun=rerun)
+        stored[name] = read_sessions(spark, f"{out}/{name}", df.schema)
     full = full_dataset(stored["race"], stored["qualifying"], {p: stored[p] for p in PRACTICES})
     write_table(full, f"{out}/full", "parquet")
     stored["full"] = spark.read.parquet(f"{out}/full")

@@ -6,9 +6,11 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from lapwise.functions.times import duration_ms
 from lapwise.functions.values import number_or_null, text_or_null
+from lapwise.keys import SESSION
 from lapwise.operators.columns import missing_columns, select_required
 from lapwise.session import stage
 
@@ -216,6 +218,22 @@ def write_table(
     writer.save(path)
 
 
+def write_sessions(df: DataFrame, path: str, by: Sequence[str] = SESSION, rerun: bool = False) -> None:
+    """Write a table in one folder for each session; a `rerun` replaces only the folders of sessions that `df` has rows of.
+
+    Rows meet by session before they are written, so a session is a few files whatever the number
+    of tasks; adaptive execution cuts a hot session into several. A missing season or race is a folder too.
+    A session whose rows are all gone stays until it is dropped or the table is written whole.
+    """
+    writer = df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by)
+    writer.option("partitionOverwriteMode", "dynamic" if rerun else "static").parquet(path)
+
+
+def read_sessions(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table as `write_sessions` left it, with the columns and types of `schema` in its order."""
+    return spark.read.schema(schema).parquet(path).select(*[F.col(f"`{f.name}`") for f in schema.fields])
+
+
 def require(df: DataFrame, names: Sequence[str]) -> DataFrame:
     absent = missing_columns(df, names)
     if absent:

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from lapwise.sources.reports import write_report
 from lapwise.sources.sessions import flatten_record, load_sessions, non_empty, session_manifest, tag_session, union_sessions
-from lapwise.sources.tables import _lines, joined_records, read_table, read_with_quarantine, write_table
+from lapwise.sources.tables import (
+    _lines, joined_records, read_sessions, read_table, read_with_quarantine, write_sessions, write_table,
+)
 
 LAYOUT = {"Lap": "int", "Time": "duration", "Wet": "boolean", "Name": "string", "Speed": "double"}
 
@@ -156,3 +158,28 @@ def test_reports(spark, tmp_path):
     assert rows(spark.read.text(str(tmp_path / "t"))) == [("split=test auc=0.5",), ("split=train auc=-",)]
     write_report(metrics, str(tmp_path / "j"), "json")
     assert spark.read.json(str(tmp_path / "j")).count() == 2
+
+
+def test_a_rerun_replaces_only_its_session(spark, tmp_path):
+    layout = "RACEYEAR int, Driver string, RACENUMBER int, v double"
+    whole = spark.createDataFrame([(2022, "A", 1, 1.0), (2022, "B", 1, 2.0), (2023, "A", 1, 3.0), (2023, "A", 2, 4.0), (None, "A", 2, 5.0)], layout)
+    path = tmp_path / "laps"
+    write_sessions(whole, f"file:{path}")
+
+    def files():
+        return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+    first = files()
+    assert len(first) == 4 and rows(read_sessions(spark, f"file:{path}", whole.schema)) == rows(whole)
+    again = spark.createDataFrame([(2022, "C", 1, 9.0), (2024, "A", 1, 8.0)], layout)
+    for _ in range(2):  # the second rerun gives the same table
+        write_sessions(again, f"file:{path}", rerun=True)
+        found = read_sessions(spark, f"file:{path}", whole.schema)
+        assert found.columns == whole.columns and found.dtypes == whole.dtypes
+        assert rows(found) == rows(whole.where("NOT (RACEYEAR <=> 2022 AND RACENUMBER = 1)").union(again))
+    now = files()
+    assert {f: t for f, t in now.items() if "=2022" not in f and "=2024" not in f} == {f: t for f, t in first.items() if "=2022" not in f}
+    write_sessions(again.where("v < 0"), f"file:{path}", rerun=True)
+    assert files() == now
+    write_sessions(again, f"file:{path}")
+    assert rows(read_sessions(spark, f"file:{path}", whole.schema)) == rows(again)
