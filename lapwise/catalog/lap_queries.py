@@ -295,3 +295,19 @@ def column_cleaning(spark, folder):
     slim = drop_if_present(drop_matching(prefixed, "SOFT"), ["Unnamed: 0", "FP1_FastestSpeedOnTyre_HARD"])
     outcomes = [c for c in slim.columns if "Speed" in c or "LapTime" in c]
     return leakage_guard(slim, [*outcomes, "Time", "WinnerTime"])
+
+
+@query(
+    "session_kind",
+    f"""{with_views('weather')} SELECT {K2}, CASE WHEN RACENUMBER % 2 = 0 THEN 'R' ELSE 'Q' END AS W_KIND_first,
+        max(AirTemp) AS W_AirTemp_max, count(DISTINCT SESSIONTYPE) > 1 AS mixed FROM weather GROUP BY {K2}
+    HAVING count(*) FILTER (WHERE SESSIONTYPE = 'R') > 0""",
+)
+def session_kind(spark, folder):
+    """The kind of each session from the readings that tell it: the first one present."""
+    weather = view(spark, folder, "weather")
+    told = F.when(F.col("SESSIONTYPE") == "R", F.when(F.col("RACENUMBER") % 2 == 0, "R").otherwise("Q"))
+    found = weather_summary(weather.withColumn("KIND", told), "W_", session_type="KIND")
+    kinds = weather.groupBy("RACEYEAR", "RACENUMBER").agg((F.count_distinct("SESSIONTYPE") > 1).alias("mixed"))
+    shown = found.where("W_KIND_first IS NOT NULL").select("RACEYEAR", "RACENUMBER", "W_KIND_first", "W_AirTemp_max")
+    return shown.join(kinds, ["RACEYEAR", "RACENUMBER"])

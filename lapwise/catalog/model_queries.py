@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window, functions as F
@@ -10,17 +12,21 @@ from lapwise.catalog.registry import CHECKS, query
 from lapwise.catalog.standins import duck, selected, table
 from lapwise.ml.dictionary import class_numbers, dictionary, fit_encoder
 from lapwise.ml.evaluate import evaluate
-from lapwise.ml.prep import build_preprocessor, encode_label, feature_names
+from lapwise.ml.prep import build_preprocessor, encode_label, feature_names, typed_columns
+from lapwise.ml.score import score
 from lapwise.ml.split import stratified_split
 from lapwise.ml.train import (
-    feature_importance, permutation_importance, position_model, predictions, random_search, winner_model, with_shuffled,
+    feature_importance, load_model, permutation_importance, position_model, predictions, random_search, save_model,
+    winner_model, with_shuffled,
 )
 from lapwise.ml.trees import class_curve, contributions, curve
+from lapwise.operators.columns import has_column, missing_columns, select_except
 from lapwise.operators.evaluation import (
     auc, class_weight, classification_report, confusion_matrix, losses, mean_of_first, ovr_auc, roc_points, split_sizes,
     with_class_weight,
 )
-from lapwise.session import stage
+from lapwise.session import shared_folder, stage
+from lapwise.sources.reports import write_report
 
 # Entries with a label, a fixed-rule score and a predicted class.
 SCORED = """
@@ -549,3 +555,75 @@ def boosted_classes(spark, folder):
         ((F.col("merror") == 0) & ((F.col("round") < TREES) | (F.abs(F.col("mlogloss") - F.lit(final)) < 1e-9))).alias("good"))
     return rated.agg(F.count(F.lit(1)).alias("n"), F.bool_and(good).alias("good")).select(
         F.lit("rows").alias("what"), F.lit(0).cast("long").alias("round"), "n", "good").unionByName(rounds)
+
+
+@query(
+    "scored_entries",
+    f"SELECT EntryId, grid, winner AS predicted_winner, winner AS likely FROM ({DECIDED})",
+)
+def scored_entries(spark, folder):
+    """Raw rows scored by a pipeline that was saved and loaded; a category that it never saw and a missing number are no obstacle."""
+    _, encoder, _, model, numbers = _decided(spark, folder)
+    path = f"{shared_folder(spark)}/winner-{uuid.uuid4().hex}"
+    save_model(PipelineModel([*encoder.stages, model]), path)
+    raw = selected(table(spark, folder, "orders"), ENTRIES).select("EntryId", *TEXTS, *NUMBERS).withColumns({
+        "priority": F.when(F.col("EntryId") % 5 > 0, F.col("priority")).otherwise("6-NEW"),
+        "price": F.when(F.col("EntryId") % 7 > 0, F.col("price")),
+        "same": F.lit(1.0),
+    })
+    scored = score(raw, load_model(path), (*TEXTS, *numbers))
+    return scored.select("EntryId", "grid", "predicted_winner", (F.col("win_probability") > 0.5).cast("int").alias("likely"))
+
+
+@query(
+    "dictionary_winner",
+    f"SELECT EntryId, winner, winner AS predicted FROM ({DECIDED})",
+)
+def dictionary_winner(spark, folder):
+    """The decided winner with every customer as a category: categories as numbers of a stored dictionary."""
+    entries = selected(table(spark, folder, "orders"), ENTRIES).withColumns({
+        "customer": F.col("entrant").cast("int").cast("string"), "winner": (F.col("grid") < 7).cast("int")})
+    rows = stage(stratified_split(entries, "winner", ["EntryId"]), "customers").withColumn("label", F.col("winner").cast("double"))
+    encoder = fit_encoder(rows.where("split = 'train'"), [*TEXTS, "customer"], NUMBERS, form="number")
+    encoded = encoder.transform(rows.select("EntryId", "label", "split", *TEXTS, "customer", *NUMBERS))
+    model = winner_model(weight=None, maxIter=TREES, maxDepth=3).fit(encoded.where("split = 'train'").select("label", "features"))
+    scored = predictions(model, encoded, ["EntryId", "label"])
+    return scored.select("EntryId", F.col("label").cast("int").alias("winner"), F.col("prediction").cast("int").alias("predicted"))
+
+
+KINDS = {"text": ("priority", "status"), "number": ("EntryId", "price", "month", "entrant")}
+
+
+@query(
+    "column_kinds",
+    f"WITH entries AS (SELECT {duck(ENTRIES)} FROM orders) " + " UNION ALL ".join(
+        f"""SELECT '{kind}' AS kind, '{name}' AS "column", count(CASE WHEN EntryId % 3 > 0 THEN {name} END) AS present, 'late,odd' AS lacking,
+        true AS has_place, false AS has_grid FROM entries""" for kind, names in KINDS.items() for name in names
+    ),
+)
+def column_kinds(spark, folder):
+    """Text and number columns of a table without some of its own, flags in neither; present values of each, and names it lacks."""
+    entries = selected(table(spark, folder, "orders"), ENTRIES)
+    kept = select_except(entries, ["grid", "winner", "nowhere"]).withColumn("flag", F.col("price") > 1000)
+    texts, numbers = typed_columns(kept, leave_out=["place"])
+    lacking = ",".join(missing_columns(kept, ["late", "price", "odd"]))
+    present = kept.where("EntryId % 3 > 0").agg(*[F.count(c).alias(c) for c in (*texts, *numbers)])
+    kind = F.when(F.col("column").isin(texts), "text").otherwise("number")
+    return present.unpivot([], [*texts, *numbers], "column", "present").select(
+        kind.alias("kind"), "column", "present", F.lit(lacking).alias("lacking"),
+        F.lit(has_column(kept, "place")).alias("has_place"), F.lit(has_column(kept, "grid")).alias("has_grid"),
+    )
+
+
+@query(
+    "report_lines",
+    f"""{SPLIT_SQL} SELECT 'split=' || split || ' rows=' || count(*) || ' winners=' || coalesce(CAST(nullif(sum(label), 0) AS VARCHAR), '-') AS line
+    FROM split GROUP BY split""",
+)
+def report_lines(spark, folder):
+    """A metrics report written as text lines, read back as they stand."""
+    found = split(spark, folder).groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), F.nullif(F.sum("label"), F.lit(0)).alias("winners"))
+    path = f"{shared_folder(spark)}/report-{uuid.uuid4().hex}"
+    write_report(found, path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
