@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lapwise.llm.common import PrefixHash, digest, joined, lots, mix, ship, utf8_bytes
+from lapwise.llm.common import LOT_BYTES, PrefixHash, digest, joined, lots, mix, ship, utf8_bytes
 
 #: An anchor is the least hash of a run of so many bytes inside a string.
 ANCHOR = 20
@@ -101,22 +103,102 @@ def _uniques(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(values) else np.zeros(0, np.int64)
 
 
-def _earliest(data: np.ndarray, offsets: np.ndarray, order: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(unit, string in it, document order of its first occurrence) for all strings of all units.
+def previous_smaller(values: np.ndarray) -> np.ndarray:
+    """Place of the nearest smaller value before each value, -1 where there is none.
+
+    Least values of pairs, pairs of pairs and so on: from each place up to the first
+    left neighbour that holds a smaller value, then down to the last one in it.
+    """
+    levels = [values]
+    while len(levels[-1]) > 1:
+        below = levels[-1]
+        least = below[: len(below) & ~1].reshape(-1, 2).min(axis=1)
+        levels.append(np.append(least, below[-1]) if len(below) & 1 else least)
+    out = np.full(len(values), -1)
+    height = np.zeros(len(values), np.int8)
+    at = node = np.arange(len(values))
+    for level, least in enumerate(levels[:-1]):
+        hit = (node & 1 == 1) & (least[node - 1] < values[at])
+        out[at[hit]], height[at[hit]] = node[hit] - 1, level
+        at, node = at[~hit], node[~hit] >> 1
+    for level in range(len(levels) - 1, 0, -1):
+        down = np.flatnonzero(height >= level)
+        right = 2 * out[down] + 1
+        out[down] = right - (levels[level - 1][right] >= values[down])
+    return out
+
+
+def next_smaller(values: np.ndarray) -> np.ndarray:
+    """Place of the nearest smaller value after each value, -1 where there is none."""
+    found = previous_smaller(values[::-1])[::-1]
+    return np.where(found < 0, -1, len(values) - 1 - found)
 
-    The longest previous factor, capped at `length`: in suffix order, with equal
-    strings in document order, the previous smaller place of a string is the head
-    of its run, and what lies beyond the run shares fewer bytes with it.
+
+def previous_factors(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """For each start the number of an earlier start with a common factor of `length` bytes, or its own number.
+
+    Longest previous factors, as far as they reach `length`: in suffix order the
+    earlier suffix that shares most with a suffix is the previous or the next one
+    that starts before it. Suffixes alike in `length` bytes stand in any order.
     """
+    rank = string_order(data, length)[starts]
+    turn = np.argsort(rank)
+    ordered = rank[turn]
+    source = np.arange(len(starts))
+    for near in (previous_smaller(turn), next_smaller(turn)):
+        reach = np.flatnonzero((near >= 0) & (ordered[near] == ordered))
+        source[turn[reach]] = turn[near[reach]]
+    return source
+
+
+def first_occurrences(source: np.ndarray) -> np.ndarray:
+    """The start at which the chain of previous factors of each start begins."""
+    while True:
+        further = source[source]
+        if np.array_equal(further, source):
+            return source
+        source = further
+
+
+def _earliest(data: np.ndarray, offsets: np.ndarray, order: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unit, string in it, document order of its first occurrence) for all strings of units in document order."""
     sizes = np.diff(offsets) - length + 1
     unit = np.repeat(np.arange(len(sizes)), sizes)
     place = np.arange(len(unit)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    rank = string_order(data, length)[offsets[unit] + place]
-    turn, heads = _uniques(rank)
-    least = np.minimum.reduceat(order[unit][turn], heads)
-    first = np.empty(len(unit), np.int64)
-    first[turn] = np.repeat(least, np.diff(np.r_[heads, len(unit)]))
-    return unit, place, first
+    first = first_occurrences(previous_factors(data, offsets[unit] + place, length))
+    return unit, place, order[unit[first]]
+
+
+def stretches(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """Lots of texts, as (text number, first byte, bytes).
+
+    A text longer than a lot comes in stretches that overlap by `length` - 1 bytes,
+    so that each string of `length` bytes lies in one of them.
+    """
+    cuts = [(row, a) for row, text in enumerate(texts) for a in range(0, max(1, len(text) - length + 1), LOT_BYTES)]
+    most = LOT_BYTES + length - 1
+    for lot in lots((min(len(texts[row]) - a, most) for row, a in cuts), most):
+        rows, begins = np.array(cuts[lot], np.int64).T
+        yield rows, begins, [texts[row][a : a + most] for row, a in cuts[lot]]
+
+
+def _spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from each low to its high, and which pair each is from."""
+    count = high - low
+    which = np.repeat(np.arange(len(low)), count)
+    return np.repeat(low - (np.cumsum(count) - count), count) + np.arange(len(which)), which
+
+
+def _without(text: bytes, stretches: list[tuple[int, int]]) -> tuple[list[dict], bytes]:
+    """Maximal runs of the bytes in any stretch, and the other bytes."""
+    spans: list[dict] = []
+    for a, b in sorted(stretches):
+        if spans and a <= spans[-1]["end"]:
+            spans[-1]["end"] = max(b, spans[-1]["end"])
+        else:
+            spans.append({"start": a, "end": b})
+    edges = [0, *(e for s in spans for e in (s["start"], s["end"])), len(text)]
+    return spans, b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
 def remove_repeats(
@@ -130,8 +212,9 @@ def remove_repeats(
 
     Anchors of all strings are hashed to buckets, which tell what anchors several
     documents have. The units around these go, once for each chunk of documents,
-    to the bucket of their anchor, where suffix order gives the first document of
-    every string; chunks get back the units with an earlier one. Documents are
+    to the bucket of their anchor. There longest previous factors, from previous and
+    next smaller positions in suffix order, lead every string to its first document,
+    a lot of anchors at a time; chunks get back the units with an earlier one. Documents are
     shuffled to their chunks once, and no key gets more than one entry from each
     lot of anchors or chunk, however many documents share it.
 
@@ -139,7 +222,8 @@ def remove_repeats(
     bytes, and take no part in the rest. A missing text is an empty one. Missing
     ids come after all others and are not smaller than each other. Repeated rows
     have a row each and do not remove each other. An empty table gives an empty
-    table. Other columns are not kept.
+    table. A text longer than a lot is taken in stretches, so that beyond the texts
+    of its chunk a task holds arrays of one lot only. Other columns are not kept.
     """
     if length < ANCHOR + 1:
         raise ValueError(f"strings need more than {ANCHOR} bytes")
@@ -162,9 +246,10 @@ def remove_repeats(
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             texts, chunks = batch.column("text").to_pylist(), batch.column("chunk").to_numpy()
-            for lot in lots(map(len, texts)):
-                units = Units(texts[lot], length)
-                held.append((units.anchor, units.owner, chunks[lot][units.owner]))
+            for rows, _, parts_ in stretches(texts, length):
+                units = Units(parts_, length)
+                owner = rows[units.owner]
+                held.append((units.anchor, owner, chunks[owner]))
                 if sum(len(h[0]) for h in held) >= HELD_ANCHORS:
                     yield handed(held)
                     held = []
@@ -247,11 +332,11 @@ def remove_repeats(
         """The units of a chunk's first texts that have a shared anchor, each once, in the bucket of the anchor."""
         texts, orders, first = first_rows(left, right)
         asked = wanted(right)
-        names, buckets, least, most, sizes, datas = [], [], [], [], [], []
+        names, buckets, lows, least, most, sizes, datas = [], [], [], [], [], [], []
         rows = np.flatnonzero(first)
         texts, orders = [texts[r] for r in rows], orders[rows]
-        for lot in lots(map(len, texts)):
-            units = Units(texts[lot], length)
+        for text, _, parts_ in stretches(texts, length):
+            units = Units(parts_, length)
             bucket = _bucket(units.anchor, parts)
             both = bucket.astype(np.uint64) << np.uint64(32) | (units.anchor & _LOW)
             place = np.minimum(np.searchsorted(asked, both), max(0, len(asked) - 1))
@@ -260,12 +345,13 @@ def remove_repeats(
                 continue
             name = units.names(chosen, length)
             turn, heads = _uniques(name)
-            doc = orders[lot][units.owner[chosen]][turn]
+            doc = orders[text[units.owner[chosen]]][turn]
             one = chosen[turn[heads]]
             begin, end = units.first[one], units.last[one] + length
             whole = units.data.tobytes()
             names.append(name[turn[heads]])
             buckets.append(bucket[one])
+            lows.append((units.anchor[one] & _LOW).astype(np.uint32))
             least.append(np.minimum.reduceat(doc, heads))
             most.append(np.maximum.reduceat(doc, heads))
             sizes.append(end - begin)
@@ -277,7 +363,8 @@ def remove_repeats(
         turn, heads = _uniques(name)  # the same unit of several lots
         low, high = np.minimum.reduceat(low[turn], heads), np.maximum.reduceat(high[turn], heads)
         one = turn[heads]
-        table = np.rec.fromarrays([name[one], low, high, size[one].astype(np.int32)], names="name,low,high,size")
+        anchor = np.concatenate(lows)[one]
+        table = np.rec.fromarrays([name[one], anchor, low, high, size[one].astype(np.int32)], dtype=head)
         turn, heads = _uniques(bucket[one])
         ends = [*heads[1:], len(one)]
         return _units_table(
@@ -291,7 +378,7 @@ def remove_repeats(
             "heads": pa.array([b[0] for b in blobs], pa.binary()), "data": pa.array([b[1] for b in blobs], pa.binary()),
         })
 
-    head = np.dtype([("name", np.uint64), ("low", np.int64), ("high", np.int64), ("size", np.int32)])
+    head = np.dtype([("name", np.uint64), ("anchor", np.uint32), ("low", np.int64), ("high", np.int64), ("size", np.int32)])
     reply = np.dtype([("name", np.uint64), ("from", np.int32), ("upto", np.int32), ("first", np.int64)])
 
     def earlier(rows: pa.Table) -> pa.Table:
@@ -302,31 +389,40 @@ def remove_repeats(
         chunk = np.repeat(chunks, [len(t) for t in tables])
         data = np.frombuffer(b"".join(rows.column("data").to_pylist()), np.uint8)
         begin = np.cumsum(entries["size"].astype(np.int64)) - entries["size"]
-        turn, heads = _uniques(entries["name"])
-        unit = np.empty(len(entries), np.int64)
-        unit[turn] = np.repeat(np.arange(len(heads)), np.diff(np.r_[heads, len(entries)]))
-        one = turn[heads]
-        size = entries["size"][one].astype(np.int64)
-        offsets = np.r_[0, np.cumsum(size)]
-        source = np.repeat(begin[one] - offsets[:-1], size) + np.arange(offsets[-1])
-        owner, place, first = _earliest(data[source], offsets, np.minimum.reduceat(entries["low"][turn], heads), length)
-        runs = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (first[1:] != first[:-1])])
-        upto = place[np.r_[runs[1:], len(owner)] - 1] + 1
-        owner, place, first = owner[runs], place[runs], first[runs]
-        of_unit = np.searchsorted(owner, np.arange(len(one) + 1))
-        # every entry gets the runs of its unit
-        count = np.diff(of_unit)[unit]
-        entry = np.repeat(np.arange(len(entries)), count)
-        run = np.repeat(of_unit[unit] - (np.cumsum(count) - count), count) + np.arange(len(entry))
-        live = first[run] < entries["high"][entry]
-        entry, run = entry[live], run[live]
-        out = np.rec.fromarrays(
-            [entries["name"][entry], place[run].astype(np.int32), upto[run].astype(np.int32), first[run]], dtype=reply
-        )
-        turn, heads = _uniques(chunk[entry])
-        ends = [*heads[1:], len(entry)]
+        turn = np.lexsort((entries["name"], entries["anchor"]))
+        entries, chunk, begin = entries[turn], chunk[turn], begin[turn]
+        heads = np.flatnonzero(np.r_[True, entries["name"][1:] != entries["name"][:-1]])
+        edges = np.r_[heads, len(entries)]
+        low, size = np.minimum.reduceat(entries["low"], heads), entries["size"][heads].astype(np.int64)
+        # units with different anchors share no string
+        anchors_of = np.flatnonzero(np.r_[True, np.diff(entries["anchor"][heads].astype(np.int64)) != 0])
+        bounds = np.r_[anchors_of, len(heads)]
+        found, found_chunks = [], []
+        for lot in lots(np.add.reduceat(size, anchors_of).tolist()):
+            units = np.arange(bounds[lot.start], bounds[lot.stop])
+            units = units[np.argsort(low[units], kind="stable")]
+            offsets = np.r_[0, np.cumsum(size[units])]
+            source = np.repeat(begin[heads[units]] - offsets[:-1], size[units]) + np.arange(offsets[-1])
+            owner, place, first = _earliest(data[source], offsets, low[units], length)
+            runs = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (first[1:] != first[:-1])])
+            upto = place[np.r_[runs[1:], len(owner)] - 1] + 1
+            owner, place, first = owner[runs], place[runs], first[runs]
+            # every entry gets the runs of its unit
+            entry, unit = _spread(edges[units], edges[units + 1])
+            of_unit = np.searchsorted(owner, np.arange(len(units) + 1))
+            run, at = _spread(of_unit[unit], of_unit[unit + 1])
+            entry = entry[at]
+            live = first[run] < entries["high"][entry]
+            entry, run = entry[live], run[live]
+            found.append(np.rec.fromarrays(
+                [entries["name"][entry], place[run].astype(np.int32), upto[run].astype(np.int32), first[run]], dtype=reply
+            ))
+            found_chunks.append(chunk[entry])
+        out, chunk = np.concatenate(found), np.concatenate(found_chunks)
+        turn, heads = _uniques(chunk)
+        ends = [*heads[1:], len(chunk)]
         return pa.table({
-            "chunk": pa.array(chunk[entry][turn[heads]], pa.int32()),
+            "chunk": pa.array(chunk[turn[heads]], pa.int32()),
             "bucket": pa.array([-3] * len(heads), pa.int32()),
             "data": pa.array([out[turn[a:b]].tobytes() for a, b in zip(heads, ends)], pa.binary()),
         })
@@ -345,28 +441,31 @@ def remove_repeats(
             if len(texts[row]) >= length:
                 spans[row], kept[row] = [{"start": 0, "end": len(texts[row])}], b""
         rows = np.flatnonzero(first)
-        for lot in lots([len(texts[r]) for r in rows]) if len(replies) else ():
-            mine = rows[lot]
-            units = Units([texts[r] for r in mine], length)
+        gone: list[list[tuple[int, int]]] = [[] for _ in rows]
+        for text, begins, parts_ in stretches([texts[r] for r in rows], length) if len(replies) else ():
+            units = Units(parts_, length)
             name = units.names(np.arange(len(units.first)), length)
             low, high = np.searchsorted(replies["name"], name, "left"), np.searchsorted(replies["name"], name, "right")
-            count = high - low
-            unit = np.repeat(np.arange(len(name)), count)
-            hit = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(len(unit))
-            live = replies["first"][hit] < orders[mine][units.owner[unit]]
-            unit, hit = unit[live], hit[live]
+            hit, unit = _spread(low, high)
+            live = replies["first"][hit] < orders[rows[text[units.owner[unit]]]]
+            hit, unit = hit[live], unit[live]
             if not len(unit):
                 continue
-            edge = np.zeros(len(units.data) + 1, np.int64)
+            edge = np.zeros(len(units.data) + 1, np.int32)
             np.add.at(edge, units.first[unit] + replies["from"][hit], 1)
             np.add.at(edge, units.first[unit] + replies["upto"][hit] - 1 + length, -1)
-            gone = np.cumsum(edge[:-1]) > 0
-            for doc in np.unique(units.owner[unit]).tolist():
-                a, b = int(units.starts[doc]), int(units.starts[doc + 1])
-                inside = np.r_[False, gone[a:b], False]
-                opens, closes = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(~inside[1:] & inside[:-1])
-                spans[mine[doc]] = [{"start": s, "end": e} for s, e in zip(opens.tolist(), closes.tolist())]
-                kept[mine[doc]] = units.data[a:b][~gone[a:b]].tobytes()
+            covered = np.cumsum(edge[:-1], dtype=np.int32) > 0
+            before, after = np.r_[False, covered[:-1]], np.r_[covered[1:], False]
+            inner = units.starts[1:-1]
+            before[inner[inner < len(covered)]] = after[inner[inner > 0] - 1] = False
+            opens, closes = np.flatnonzero(covered & ~before), np.flatnonzero(covered & ~after) + 1
+            owner = np.searchsorted(units.starts, opens, side="right") - 1
+            shift = begins[owner] - units.starts[owner]
+            for doc, a, b in zip(text[owner].tolist(), (opens + shift).tolist(), (closes + shift).tolist()):
+                gone[doc].append((a, b))
+        for row, some in zip(rows.tolist(), gone):
+            if some:
+                spans[row], kept[row] = _without(texts[row], some)
         return pa.table({
             "id": left.column("id"), "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
             "spans": pa.array(spans, spans_type), "kept": pa.array(kept, pa.binary()),

@@ -17,7 +17,7 @@ from lapwise.llm.neardup import Sampler, components, near_duplicates, weighted_j
 from lapwise.llm.neighbours import nearest
 from lapwise.llm.packing import cuts, first_fit
 from lapwise.llm.queries import vocabulary_path
-from lapwise.llm.repeats import string_order
+from lapwise.llm.repeats import first_occurrences, next_smaller, previous_factors, previous_smaller, remove_repeats, string_order
 from lapwise.llm.sharding import place_by_dot_product
 from lapwise.llm.tokens import Encoder
 from lapwise.llm.urls import Automaton
@@ -145,6 +145,32 @@ def test_string_order_ranks_equal_strings_equally():
     assert len(set(rank.tolist())) == len(set(strings))
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 64, 129])
+def test_nearest_smaller_places(size):
+    values = np.random.default_rng(size).permutation(size)
+    assert previous_smaller(values).tolist() == [max((j for j in range(i) if values[j] < values[i]), default=-1) for i in range(size)]
+    assert next_smaller(values).tolist() == [min((j for j in range(i, size) if values[j] < values[i]), default=-1) for i in range(size)]
+
+
+def test_chains_of_previous_factors_begin_at_the_first_occurrence():
+    data = np.random.default_rng(5).integers(97, 99, 2000).astype(np.uint8)
+    strings = [bytes(data[i : i + 11]) for i in range(len(data) - 10)]
+    found = first_occurrences(previous_factors(data, np.arange(len(strings)), 11))
+    assert found.tolist() == [strings.index(s) for s in strings]
+
+
+def test_repeats_in_texts_longer_than_a_lot(spark):
+    letters = np.random.default_rng(6).integers(97, 123, 1_200_000).astype(np.uint8).tobytes().decode()
+    # the second text repeats all but three bytes, its stretches are cut elsewhere; the third repeats a piece across a cut
+    second = "x" * 333 + letters[:600_000] + "???" + letters[600_000:]
+    docs = [(1, letters), (2, second), (3, letters[524_200:524_400] + "!")]
+    found = {r["doc_id"]: r for r in remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert not found[1]["spans"] and bytes(found[1]["kept"]) == letters.encode()
+    assert [tuple(s) for s in found[2]["spans"]] == [(333, 600_333), (600_336, len(second))]
+    assert bytes(found[2]["kept"]) == b"x" * 333 + b"???"
+    assert bytes(found[3]["kept"]) == b"!"
+
+
 def test_decontamination_equals_a_scan(spark, small, texts):
     word, lower = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), {i: i + 32 for i in range(65, 91)}
     items = spark.read.parquet(f"{small}/benchmark.parquet").collect()
