@@ -8,7 +8,8 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+import pyarrow.compute
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lapwise.llm.common import LOT_BYTES, PrefixHash, lots, mix, ship, stage
 from lapwise.session import parallel_pieces, shared_folder
@@ -17,6 +18,8 @@ from lapwise.session import parallel_pieces, shared_folder
 BLOCK_BITS, BLOCK_KEYS, MOST_BLOCKS = 1 << 19, 1 << 15, 1 << 10
 #: Text bytes tokenised at once.
 TEXT_LOT = 4 * LOT_BYTES
+#: Counts a task gathers before it hands them on; text bytes for each bucket of hashes, and the least number of buckets.
+HELD_COUNTS, BUCKET_BYTES, LEAST_BUCKETS = 1 << 20, 8 << 20, 64
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 # Classes of bytes: 0 in a word, 1 between words, 2 between pieces; A-Z are lowered and tabs become blanks.
@@ -196,6 +199,8 @@ def phrase_counts(
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang")
     dealt = docs.select(lang, text).where(F.octet_length("text") > 0)
     parts = _dealt(dealt, shards)
+    size = reduce(DataFrame.unionByName, parts).agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
     scans: list[tuple[int, int, DataFrame, list[int]]] = []
     news: list[tuple[DataFrame, dict[int, int]]] = []
     turn = 0
@@ -205,11 +210,11 @@ def phrase_counts(
         if not lengths:
             break
         number = turn % shards
-        found = stage(_scan(spark, parts[number], turn < shards, filters), f"scan-{turn}")
+        found = stage(_scan(spark, parts[number], turn < shards, filters, buckets), f"scan-{turn}")
         scans.append((turn, number, found, lengths))
-        news.append(_reached(scans, least, shards, longest))
+        news.append(_reached(scans, least, longest))
         turn += 1
-    every = _totals([(t, s, rows) for t, s, rows, _ in scans], shards).where(F.col("now") >= least)
+    every = _frequent([(t, s, rows) for t, s, rows, _ in scans], least, False)
     often = stage(every.select("length", F.lit(0).alias("turn"), "hash"), "often")
     wanted = {(r["length"], 0): r["count"] for r in often.groupBy("length").count().collect()}
     spelled = stage(_spelled(spark, reduce(DataFrame.unionByName, parts), _filters(often, wanted) if wanted else {}), "spelled")
@@ -227,17 +232,61 @@ def _dealt(docs: DataFrame, shards: int) -> list[DataFrame]:
     return [kept.where(F.col("shard") == number).drop("shard") for number in range(shards)]
 
 
-def _scan(spark: SparkSession, part: DataFrame, words: bool, filters: dict[int, tuple[Filter, Filter]]) -> DataFrame:
+def _summed(hashes: list[np.ndarray], counts: list[np.ndarray], add: np.ufunc = np.add) -> tuple[np.ndarray, np.ndarray]:
+    """Each hash once, in order, with its counts put together."""
+    every, n = np.concatenate([np.zeros(0, np.uint64), *hashes]), np.concatenate([np.zeros(0, np.int64), *counts])
+    order = np.argsort(every, kind="stable")  # a merge, as the parts are sorted
+    every, n = every[order], n[order]
+    heads = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])[: len(every)]
+    return every[heads], add.reduceat(n, heads) if len(heads) else n
+
+
+def _table(length, bucket, hashes: list[np.ndarray], counts: list[np.ndarray]) -> dict[str, pa.Array]:
+    return {"length": pa.array(length, pa.int32()), "bucket": pa.array(bucket, pa.int32()),
+            "hashes": pa.array([h.tobytes() for h in hashes], pa.binary()), "counts": pa.array([c.tobytes() for c in counts], pa.binary())}
+
+
+def _arrays(rows: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    return ([np.frombuffer(b, np.uint64) for b in rows.column("hashes").to_pylist()],
+            [np.frombuffer(b, np.int64) for b in rows.column("counts").to_pylist()])
+
+
+_COUNTS = "length int, bucket int, hashes binary, counts binary"
+
+
+def _scan(spark: SparkSession, part: DataFrame, words: bool, filters: dict[int, tuple[Filter, Filter]], buckets: int) -> DataFrame:
+    """Counts of one scan: for each length and bucket of hashes a row of sorted hashes and their counts.
+
+    Tasks put the counts of several lots together, and hand on one row for each
+    bucket. Buckets grow in number with the text, so their size is bounded.
+    """
     shared = spark.sparkContext.broadcast(filters)
 
+    def handed(length: int, held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        hashes, n = _summed([h for h, _ in held], [c for _, c in held])
+        bucket = _block(hashes, buckets)
+        heads = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        ends = [*heads[1:], len(bucket)]
+        return pa.RecordBatch.from_pydict(_table(
+            np.full(len(heads), length, np.int32), bucket[heads].astype(np.int32),
+            [hashes[a:b] for a, b in zip(heads, ends)], [n[a:b] for a, b in zip(heads, ends)]))
+
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for _, _, tokens in _lots_of(batches):
             for length, _, hashes, n in counted(tokens, words, shared.value):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(n), length, np.int32)), pa.array(hashes.view(np.int64)), pa.array(n)], names=["length", "hash", "n"])
+                some = held.setdefault(length, [])
+                some.append((hashes, n))
+                if sum(len(h) for h, _ in some) >= HELD_COUNTS:
+                    yield handed(length, held.pop(length))
+        for length, some in held.items():
+            yield handed(length, some)
 
-    found = part.select("lang", "text").mapInArrow(counts, "length int, hash long, n long")
-    return found.groupBy("length", "hash").agg(F.sum("n").alias("n"))
+    def merged(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        hashes, n = _summed(*_arrays(rows))
+        return pa.table(_table([key[0].as_py()], [key[1].as_py()], [hashes], [n]))
+
+    return part.select("lang", "text").mapInArrow(counts, _COUNTS).groupBy("length", "bucket").applyInArrow(merged, _COUNTS)
 
 
 def _spelled(spark: SparkSession, docs: DataFrame, often: dict[tuple[int, int], Filter]) -> DataFrame:
@@ -252,6 +301,16 @@ def _spelled(spark: SparkSession, docs: DataFrame, often: dict[tuple[int, int],
             return pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(n), length, np.int32)), phrases, pa.array(n)],
                                               names=["lang", "length", "phrase", "n"])
 
+        def together(names, length, held):
+            """Phrases of several lots, each hash once."""
+            hashes, code, n = (np.concatenate([h[i] for h in held]) for i in (0, 1, 3))
+            order = np.argsort(hashes, kind="stable")
+            heads = np.flatnonzero(np.r_[True, np.diff(hashes[order]) != 0])
+            first = order[heads]
+            phrases = pa.concat_arrays([h[2] for h in held]).take(pa.array(first))
+            return rows(names, code[first], length, phrases, np.add.reduceat(n[order], heads))
+
+        names, held = [], {}
         for names, code, tokens in _lots_of(batches):
             n = np.bincount(code[tokens.owner], minlength=len(names))
             there = np.flatnonzero(n)
@@ -263,8 +322,13 @@ def _spelled(spark: SparkSession, docs: DataFrame, often: dict[tuple[int, int],
                 live = filters[length].has(hashes) if length in filters else np.zeros(len(at), np.bool_)
                 at, hashes = at[live], hashes[live]  # what begins with a rare phrase is rare
                 if len(at):
-                    first, _, count = _grouped(at, hashes)
-                    yield rows(names, code[tokens.owner[first]], length, tokens.texts(first, length), count)
+                    first, hashes_, count = _grouped(at, hashes)
+                    some = held.setdefault(length, [])
+                    some.append((hashes_, code[tokens.owner[first]], tokens.texts(first, length), count))
+                    if sum(len(h[0]) for h in some) >= HELD_COUNTS // 4:
+                        yield together(names, length, held.pop(length))
+        for length, some in held.items():
+            yield together(names, length, some)
 
     return docs.mapInArrow(spelled, _SPELLED).groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n"))
 
@@ -309,29 +373,36 @@ def lang_hash(name: str) -> int:
     return int(PrefixHash(np.frombuffer(name.encode() + b"\0", np.uint8)).rolling(len(name.encode()) + 1)[0])
 
 
-def _totals(scans: list[tuple[int, int, DataFrame]], shards: int) -> DataFrame:
-    """Counts so far of each phrase, `now` and `before` the last of the scans; a shard counts once."""
+def _frequent(scans: list[tuple[int, int, DataFrame]], least: int, lately: bool) -> DataFrame:
+    """(length, hash) of the phrases whose counts came to `least`; `lately`: in the last of the scans. A shard counts once."""
     last = scans[-1][0]
-    rows = reduce(DataFrame.unionByName, [
-        r.select("length", "hash", F.lit(s).alias("shard"), F.lit(t).alias("turn"), "n") for t, s, r in scans
-    ])
+    rows = reduce(DataFrame.unionByName, [r.withColumns({"shard": F.lit(s), "turn": F.lit(t)}) for t, s, r in scans])
+
+    def total(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        shard, (hashes, counts) = rows.column("shard").to_pylist(), _arrays(rows)
+        once = [_summed([h for h, s in zip(hashes, shard) if s == one], [c for c, s in zip(counts, shard) if s == one], np.maximum)
+                for one in sorted(set(shard))]
+        return _summed([h for h, _ in once], [c for _, c in once])
 
-    def total(old: bool) -> Column:
-        return sum(
-            (F.coalesce(F.max(F.when((F.col("shard") == s) & ((F.col("turn") < last) if old else F.lit(True)), F.col("n"))), F.lit(0))
-             for s in range(shards)), F.lit(0).cast("long"))
+    def reached(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        hashes, now = total(rows)
+        hashes = hashes[now >= least]
+        if lately:
+            older, before = total(rows.filter(pa.compute.less(rows.column("turn"), last)))
+            hashes = np.setdiff1d(hashes, older[before >= least], assume_unique=True)
+        return pa.table({"length": pa.array(np.full(len(hashes), key[0].as_py(), np.int32)), "hash": pa.array(hashes.view(np.int64))})
 
-    return rows.groupBy("length", "hash").agg(total(False).alias("now"), total(True).alias("before"))
+    return rows.groupBy("length", "bucket").applyInArrow(reached, "length int, hash long")
 
 
 def _reached(
-    scans: list[tuple[int, int, DataFrame, list[int]]], least: int, shards: int, longest: int
+    scans: list[tuple[int, int, DataFrame, list[int]]], least: int, longest: int
 ) -> tuple[DataFrame, dict[int, int]]:
     """Hashes of the phrases whose count came to `least` in the last scan, and how many of each length."""
     turn, _, _, lengths = scans[-1]
     open_lengths = F.col("length").isin([n for n in lengths if n < longest])
-    rows = _totals([(t, s, r.where(open_lengths)) for t, s, r, there in scans if set(there) & set(lengths)], shards)
-    new = rows.where((F.col("now") >= least) & (F.col("before") < least)).select("length", F.lit(turn).alias("turn"), "hash")
+    rows = _frequent([(t, s, r.where(open_lengths)) for t, s, r, there in scans if set(there) & set(lengths)], least, True)
+    new = rows.select("length", F.lit(turn).alias("turn"), "hash")
     new = stage(new, "reached")
     return new, {r["length"]: r["count"] for r in new.groupBy("length").count().collect()}
 
