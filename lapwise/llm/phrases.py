@@ -9,6 +9,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lapwise.llm.common import LOT_BYTES, PrefixHash, lots, mix, ship, stage
@@ -217,9 +218,9 @@ def phrase_counts(
     every = _frequent([(t, s, rows) for t, s, rows, _ in scans], least, False)
     often = stage(every.select("length", F.lit(0).alias("turn"), "hash"), "often")
     wanted = {(r["length"], 0): r["count"] for r in often.groupBy("length").count().collect()}
-    spelled = stage(_spelled(spark, reduce(DataFrame.unionByName, parts), _filters(often, wanted) if wanted else {}), "spelled")
-    frequent = spelled.where(F.col("length") > 0).withColumnRenamed("n", "f").where(F.col("f") >= least)
-    return frequent, spelled.where("length = 0").select("lang", "n")
+    spelled = stage(_spelled(spark, reduce(DataFrame.unionByName, parts), _filters(often, wanted) if wanted else {}, least, buckets), "spelled")
+    frequent = spelled.where(F.col("length") > 0).withColumnRenamed("n", "f")
+    return frequent, spelled.where("length = 0").groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def _dealt(docs: DataFrame, shards: int) -> list[DataFrame]:
@@ -289,32 +290,49 @@ def _scan(spark: SparkSession, part: DataFrame, words: bool, filters: dict[int,
     return part.select("lang", "text").mapInArrow(counts, _COUNTS).groupBy("length", "bucket").applyInArrow(merged, _COUNTS)
 
 
-def _spelled(spark: SparkSession, docs: DataFrame, often: dict[tuple[int, int], Filter]) -> DataFrame:
-    """Exact counts of the phrases whose hashes are in the filters, and all words of each language under length 0."""
+def _spelled(spark: SparkSession, docs: DataFrame, often: dict[tuple[int, int], Filter], least: int, buckets: int) -> DataFrame:
+    """Phrases whose hashes are in the filters and that occur `least` times, by their letters; under length 0, words of each language.
+
+    Tasks hand on one Arrow table for each bucket of hashes; a bucket's tables are
+    put together in one task. Words of a language come in one row for each bucket.
+    """
     shared = spark.sparkContext.broadcast(often)
 
     def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = {length: made for (length, _), made in shared.value.items()}
+        own = TaskContext.get().partitionId() % buckets
 
-        def rows(names, code, length, phrases, n):
-            lang = pa.DictionaryArray.from_arrays(pa.array(code, pa.int32()), pa.array(names)).cast(pa.string())
+        def table(names, code, length, phrases, n):
+            lang = pa.DictionaryArray.from_arrays(pa.array(code, pa.int32()), pa.array(names, pa.string())).cast(pa.string())
             return pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(n), length, np.int32)), phrases, pa.array(n)],
                                               names=["lang", "length", "phrase", "n"])
 
-        def together(names, length, held):
-            """Phrases of several lots, each hash once."""
+        def handed(bucket, tables):
+            data = []
+            for one in tables:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, one.schema) as out:
+                    out.write_batch(one)
+                data.append(sink.getvalue().to_pybytes())
+            return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(data, pa.binary())], names=["bucket", "data"])
+
+        def together(length, held):
+            """Phrases of several lots, each hash once, in the order of hashes and so of buckets."""
             hashes, code, n = (np.concatenate([h[i] for h in held]) for i in (0, 1, 3))
             order = np.argsort(hashes, kind="stable")
             heads = np.flatnonzero(np.r_[True, np.diff(hashes[order]) != 0])
             first = order[heads]
             phrases = pa.concat_arrays([h[2] for h in held]).take(pa.array(first))
-            return rows(names, code[first], length, phrases, np.add.reduceat(n[order], heads))
+            every = table(names, code[first], length, phrases, np.add.reduceat(n[order], heads))
+            bucket = _block(hashes[first], buckets)
+            begins = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            return handed(bucket[begins], [every.slice(a, b - a) for a, b in zip(begins, [*begins[1:], len(bucket)])])
 
-        names, held = [], {}
+        names, held, words = [], {}, np.zeros(0, np.int64)
         for names, code, tokens in _lots_of(batches):
             n = np.bincount(code[tokens.owner], minlength=len(names))
-            there = np.flatnonzero(n)
-            yield rows(names, there, 0, pa.array([""] * len(there)), n[there])
+            n[: len(words)] += words
+            words = n
             at, hashes = np.arange(len(tokens.words)), tokens.words
             for length in range(1, max(filters, default=0) + 1):
                 if length > 1:
@@ -322,15 +340,24 @@ def _spelled(spark: SparkSession, docs: DataFrame, often: dict[tuple[int, int],
                 live = filters[length].has(hashes) if length in filters else np.zeros(len(at), np.bool_)
                 at, hashes = at[live], hashes[live]  # what begins with a rare phrase is rare
                 if len(at):
-                    first, hashes_, count = _grouped(at, hashes)
+                    first, grouped, count = _grouped(at, hashes)
                     some = held.setdefault(length, [])
-                    some.append((hashes_, code[tokens.owner[first]], tokens.texts(first, length), count))
+                    some.append((grouped, code[tokens.owner[first]], tokens.texts(first, length), count))
                     if sum(len(h[0]) for h in some) >= HELD_COUNTS // 4:
-                        yield together(names, length, held.pop(length))
+                        yield together(length, held.pop(length))
         for length, some in held.items():
-            yield together(names, length, some)
-
-    return docs.mapInArrow(spelled, _SPELLED).groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n"))
+            yield together(length, some)
+        there = np.flatnonzero(words)
+        if len(there):
+            yield handed([own], [table(names, there, 0, pa.array([""] * len(there)), words[there])])
+
+    def merged(rows: pa.Table) -> pa.Table:
+        every = pa.concat_tables([pa.ipc.open_stream(data).read_all() for data in rows.column("data").to_pylist()])
+        once = every.group_by(["lang", "length", "phrase"]).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+        kept = pa.compute.or_(pa.compute.greater_equal(once.column("n"), least), pa.compute.equal(once.column("length"), 0))
+        return once.filter(kept).select(["lang", "length", "phrase", "n"])
+
+    return docs.mapInArrow(spelled, "bucket int, data binary").groupBy("bucket").applyInArrow(merged, _SPELLED)
 
 
 def _lots_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], np.ndarray, Tokens]]:
