@@ -441,13 +441,14 @@ def near_duplicates(
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """One row of each class of near-duplicates, that of the least id, with all its columns.
 
-    Of rows that share id and text one stays.
+    Of rows that share id and text one stays. Other columns may have any names.
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **settings)
-    found = stage(found.where("kept").groupBy(F.col(id_col).alias("__id"), F.col("text_key").alias("__key")).count(), "kept")
-    keyed = docs.withColumn("__own", digest(F.col(text_col)))
-    same = keyed[id_col].eqNullSafe(found["__id"]) & (keyed["__own"] == found["__key"])
-    kept = keyed.join(found, same)
-    if not found.where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["__id", "__key"])
-    return kept.select(*docs.columns)
+    found = found.where("kept").groupBy(F.col(id_col).alias("id"), F.col("text_key").alias("key")).agg(F.count(F.lit(1)).alias("copies"))
+    found = stage(found, "kept")
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    rows = docs.select(row, F.col(id_col).alias("own_id"), digest(F.col(text_col)).alias("own_key"))
+    kept = rows.join(found, rows["own_id"].eqNullSafe(found["id"]) & (rows["own_key"] == found["key"]))
+    if not found.where("copies > 1").isEmpty():
+        kept = kept.dropDuplicates(["id", "key"])
+    return kept.select("row.*")

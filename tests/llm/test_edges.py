@@ -151,3 +151,12 @@ def test_benchmark_items_without_an_id_are_searched(spark, odd):
     found = {(r["doc_id"], r["n_words"]): r for r in contaminated(contamination(odd, items)).collect()}
     assert found[1, 60]["n_hit"] == 30 and found[1, 60]["items"] == ["3"]
     assert found[10, 80]["n_hit"] == 20 and found[10, 80]["items"] == [] and found[10, 80]["contaminated"]
+
+
+def test_one_row_of_each_class_beside_clashing_columns(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, t, i + 10, "a", "b", "c", "d") for i, t in ((1, text), (2, text), (2, text), (3, "other words"), (3, "other words"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, count long, __id string, __key string, __own string, row string")
+    kept = without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[3]]
