@@ -363,6 +363,6 @@ def test_pipeline_stages(spark, small):
     assert docs.agg(F.sum("length")).first()[0] > 0
 
 
-def test_only_the_url_filter_is_checked_by_sql():
+def test_which_operators_are_checked_by_sql():
     mine = {n for n in queries() if re.match(r"op\d+_|pipeline", n)}
-    assert len(mine) == 11 and mine & set(oracle_sql()) == {"op6_url_filter"}
+    assert len(mine) == 14 and mine & set(oracle_sql()) == {"op6_url_filter", "op12_archives", "op13_collocations"}
