@@ -141,11 +141,16 @@ def csv_records(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, D
     return records.where(F.trim("line") != ""), files
 
 
+def _parsed(line: str, width: int) -> Column:
+    """The fields of a record as a struct of `width` texts, with `_END` behind the last one."""
+    layout = ", ".join(f"__c{n} string" for n in range(width))
+    return F.from_csv(F.concat(F.col(line), F.lit("," + _END)), F.lit(layout), {"escape": '"'})
+
+
 def _fields(line: str, width: int) -> Column:
-    """The fields of a record as an array of `width` texts, with `_END` behind the last one."""
-    layout = ", ".join(f"c{n} string" for n in range(width))
-    row = F.from_csv(F.concat(F.col(line), F.lit("," + _END)), F.lit(layout), {"escape": '"'})
-    return F.array(*[row[f"c{n}"] for n in range(width)])
+    """The same as an array."""
+    row = _parsed(line, width)
+    return F.array(*[row[f"__c{n}"] for n in range(width)])
 
 
 def parsed_records(records: DataFrame, files: DataFrame, schema: Mapping[str, str]) -> DataFrame:
@@ -160,7 +165,9 @@ def parsed_records(records: DataFrame, files: DataFrame, schema: Mapping[str, st
         "file", "header", (F.array_position("names", _END) - 1).cast("int").alias("size"),
         F.array(*[F.array_position("names", name).cast("int") for name in schema]).alias("places"),
     )
-    rows = records.join(layouts, "file").where("line <> header").withColumn("fields", _fields("line", width))
+    # a generator, as the parser would be copied into each of the many places, filters too, that read a plain column's fields
+    rows = records.join(layouts, "file").where("line <> header").select("*", F.inline(F.array(_parsed("line", width))))
+    rows = rows.withColumn("fields", F.array(*[f"__c{n}" for n in range(width)]))
     shown = [F.when(F.col("places")[n] > 0, F.try_element_at("fields", F.col("places")[n])).alias(name) for n, name in enumerate(schema)]
     return rows.select(
         F.col("file").alias("__file"), F.col("line").alias("__line"),
