@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Model
 from pyspark.ml.classification import OneVsRestModel
@@ -54,19 +54,20 @@ def tree_paths(model: Model, rows: DataFrame, ids: Sequence[str], features: str
     trees = len(model.trees)
     at = rows.select(*ids, vector_to_array(features).alias("__x"), F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
     empty = F.array().cast("array<struct<feature: int, change: double>>")
-    at = at.withColumns({"node": F.lit(0), "steps": empty})
+    at = at.withColumns({"node": F.lit(0), "steps": empty}).join(roots, F.col("tree") == F.col("__tree")).drop("__tree")
+    at = at.withColumn("out", F.col("base"))
     for _ in range(depth):
         asked = F.element_at("__x", F.col("feature") + 1)
         goes_left = F.when(F.col("categories").isNull(), asked <= F.col("threshold")).otherwise(F.array_contains("categories", asked))
-        step = F.struct(F.col("feature"), (F.when(goes_left, F.col("left_value")).otherwise(F.col("right_value")) - F.col("value")).alias("change"))
+        change = F.when(goes_left, F.col("left_value")).otherwise(F.col("right_value")) - F.col("value")
+        step = F.struct(F.col("feature"), change.alias("change"))
         split = F.col("feature").isNotNull()
         at = at.join(nodes, ["tree", "node"]).select(
-            *ids, "__x", "tree",
+            *ids, "__x", "tree", "base", F.when(split, F.col("out") + change).otherwise(F.col("out")).alias("out"),
             F.when(~split, F.col("node")).when(goes_left, F.col("left")).otherwise(F.col("right")).alias("node"),
             F.when(split, F.concat("steps", F.array(step))).otherwise(F.col("steps")).alias("steps"),
         )
-    out = F.aggregate("steps", F.col("base"), lambda total, s: total + s["change"])
-    return at.join(roots, at["tree"] == F.col("__tree")).select(*ids, "tree", "base", "steps", out.alias("out"))
+    return at.select(*ids, "tree", "base", "steps", "out")
 
 
 def contributions(model: Model, rows: DataFrame, ids: Sequence[str]) -> DataFrame:
@@ -103,12 +104,21 @@ def logistic(margin: Column) -> Column:
     return 1 / (1 + F.exp(-2 * margin))
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """`then` of a value that is worked out once, also where `then` reads it for each element of an array."""
+    return F.transform(F.array(value), then)[0]
+
+
 def softmax(margins: Column) -> Column:
     """Chances of all classes from an array of one margin for each; they sum to 1."""
-    top = F.array_max(margins)
-    shares = F.transform(margins, lambda m: F.exp(2 * (m - top)))
-    total = F.aggregate(shares, F.lit(0.0), lambda a, b: a + b)
-    return F.transform(shares, lambda s: s / total)
+
+    def shared(shares: Column) -> Column:
+        return _once(F.aggregate(shares, F.lit(0.0), lambda a, b: a + b), lambda total: F.transform(shares, lambda s: s / total))
+
+    def chances(known: Column) -> Column:
+        return _once(F.array_max(known), lambda top: _once(F.transform(known, lambda m: F.exp(2 * (m - top))), shared))
+
+    return _once(margins, chances)
 
 
 def _log_loss(chance: Column) -> Column:
@@ -142,7 +152,8 @@ def class_curve(model: OneVsRestModel, rows: DataFrame, ids: Sequence[str], labe
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("class", "margin"))), lambda x: x["margin"])
+    # number buffers keep this a hash aggregate; collected lists would be sorted by row and round
+    ordered = F.array(*[F.max(F.when(F.col("class") == number, F.col("margin"))) for number in range(len(model.models))])
     told = rows.select(*ids, *by, F.col(label).cast("int").alias("label"))
     scored = whole.groupBy(*ids, "round").agg(softmax(ordered).alias("chances")).join(told, list(ids))
     guess = F.array_position("chances", F.array_max("chances")) - 1
