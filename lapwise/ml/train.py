@@ -163,18 +163,19 @@ def permutation_importance(
 ) -> DataFrame:
     """How much the metric falls when one input column is shuffled, greatest fall first.
 
-    `model` is a pipeline from raw columns to prediction; `df` is read for each
-    column, so pass a staged table.
+    `model` is a pipeline from raw columns to prediction. All columns are shuffled at
+    once, as the permutation is the same for each, and stored; every column then
+    reads its own shuffled values. `df` is read three times: pass a staged table.
     """
     if metric == "areaUnderROC":
         evaluator = BinaryClassificationEvaluator(labelCol=label, metricName=metric)
     else:
         evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
     base = evaluator.evaluate(model.transform(df))
+    shuffled = stage(with_shuffled(df, columns, ids, seed), "shuffled")
     rows = []
     for column in columns:
-        swapped = with_shuffled(df, [column], ids, seed)
-        swapped = swapped.withColumn(column, F.col(f"__shuffled_{column}")).drop(f"__shuffled_{column}")
+        swapped = shuffled.withColumn(column, F.col(f"__shuffled_{column}")).drop(*[f"__shuffled_{c}" for c in columns])
         rows.append((column, float(base - evaluator.evaluate(model.transform(swapped)))))
     table = df.sparkSession.createDataFrame(rows, "column string, fall double")
     return table.orderBy(F.desc("fall"), "column")
