@@ -69,16 +69,20 @@ def random_search(
 
     `train` holds the encoded features; it is read for each draw and fold. Every
     fold has each label in proportion. A name that the estimator does not know is
-    passed over.
+    passed over. Draws that come to the same parameters are one model for each fold,
+    as the seed is the same too, and share its score.
     """
     numbered = stage(train.withColumn("__row", F.monotonically_increasing_id()), "search-rows")
     train = stage(stratified_folds(numbered, label, folds, ["__row"], seed, "__fold").drop("__row"), "search-folds")
     drawn = draw_params(space, n, seed)
     renamed = FOREST_NAMES if isinstance(estimator, RandomForestClassifier) else {}
-    grid = []
+    grid, places = [], []
     for params in drawn:
         named = {renamed.get(name, name): value for name, value in params.items()}
-        grid.append({estimator.getParam(k): v for k, v in named.items() if k and estimator.hasParam(k)})
+        known = {estimator.getParam(k): v for k, v in named.items() if k and estimator.hasParam(k)}
+        if known not in grid:
+            grid.append(known)
+        places.append(grid.index(known))
     if metric == "areaUnderROC":
         evaluator = BinaryClassificationEvaluator(labelCol=label, metricName=metric)
     else:
@@ -89,8 +93,8 @@ def random_search(
     )
     fitted = search.fit(train)
     rows = [
-        (i, str({k: v for k, v in params.items()}), float(score))
-        for i, (params, score) in enumerate(zip(drawn, fitted.avgMetrics))
+        (i, str({k: v for k, v in params.items()}), float(fitted.avgMetrics[place]))
+        for i, (params, place) in enumerate(zip(drawn, places))
     ]
     scores = train.sparkSession.createDataFrame(rows, "draw int, params string, mean_score double")
     return fitted.bestModel, scores
