@@ -39,11 +39,14 @@ def consecutive_gaps(
 ) -> DataFrame:
     """Last `end` of segment n beside first `start` of segment n + 1, where both segments exist.
 
-    Each segment is sent to two places, n as the one that ends and n - 1 as the
-    one that follows, and the two meet in one aggregate. That needs one reading of
-    the rows, no self-join and no window over all segments of a hot driver.
+    Each segment takes two places, n as the one that ends and n - 1 as the one that
+    follows, and the two meet in one aggregate. That needs one reading of the rows,
+    no self-join and no window over all segments of a hot driver. Segments, by now one
+    row each, are shuffled by `keys` before they are doubled: this aggregate, and any
+    by `keys` behind it, shuffles nothing again.
     """
     ends = segment_ends(rows, [start], [end], keys, segment, order)
+    ends = ends.repartition(*keys)
     number = F.col(segment)
     sides = F.array(
         F.struct(
