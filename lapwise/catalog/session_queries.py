@@ -52,11 +52,12 @@ def _schedule(spark, folder):
     return months.withColumns({**texts, **{f"Session{i}Date": date for i in range(1, 6)}})
 
 
-def _race(spark, folder):
+def _race(spark, folder, single_winner=False):
     raw = _raw(spark, folder)
     corners = view(spark, folder, "corners").withColumn("RACEYEAR", F.col("RACEYEAR") - 25)
     return race_table(
-        {**raw, "results": _race_results(spark, folder), "corners": corners, "schedule": _schedule(spark, folder)}
+        {**raw, "results": _race_results(spark, folder), "corners": corners, "schedule": _schedule(spark, folder)},
+        single_winner=single_winner,
     )
 
 
@@ -168,7 +169,7 @@ def dataset(spark, folder):
     raw = _raw(spark, folder)
     practice = {p: stage(practice_table(raw, p), p) for p in ("FP1", "FP2", "FP3")}
     quali = stage(qualifying_table({**raw, "results": _quali_results(spark, folder)}), "qualifying")
-    full = full_dataset(stage(_race(spark, folder), "race"), quali, practice)
+    full = full_dataset(stage(_race(spark, folder, single_winner=True), "race"), quali, practice)
     kept = [f"ComparativePace_{c}" for c in COMPARED if c in ("FP1_FastestFullLapTime_ms", "FP3_FastestSector1Time_ms", "Quali_Q1_ms")]
     return before_race_dataset(full).select(*SESSION, "EntryId", *kept)
 

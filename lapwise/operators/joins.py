@@ -239,10 +239,18 @@ def with_winner(results: DataFrame, winners: DataFrame, spread_by: Sequence[str]
     )
 
 
-def race_winners(results: DataFrame, finished: str = "Finished") -> DataFrame:
-    """Time and id of the finisher in first place of each race."""
+def race_winners(results: DataFrame, finished: str = "Finished", single: bool = False) -> DataFrame:
+    """Time and id of the finisher in first place of each race.
+
+    A dead heat has a row for each of its winners; with `single` only the one of the
+    least time and then the least id, so that a join by race keeps one row for each result.
+    """
     first = results.filter((F.col("Status") == finished) & (F.col("Position") == 1))
-    return first.select(*SESSION, F.col("Time").alias("WinnerTime"), F.col("DriverId").alias("WinnerDriver"))
+    winners = first.select(*SESSION, F.col("Time").alias("WinnerTime"), F.col("DriverId").alias("WinnerDriver"))
+    if not single:
+        return winners
+    order = F.struct(F.col("WinnerTime").isNull(), "WinnerTime", "WinnerDriver")
+    return winners.groupBy(*SESSION).agg(F.min(order).alias("first")).select(*SESSION, "first.WinnerTime", "first.WinnerDriver")
 
 
 def finishers(results: DataFrame, finished: str = "Finished") -> DataFrame:

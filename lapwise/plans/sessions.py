@@ -39,13 +39,18 @@ def driver_laps(
     return join_driver(lap_summary(laps, prefix, with_lap, compounds=compounds), pit_summary(laps, prefix))
 
 
-def race_table(raw: Mapping[str, DataFrame], compounds: Sequence[str] = ALL_COMPOUNDS) -> DataFrame:
-    """Results with winner, pace, weather, laps, track status, corners and event of the race."""
+def race_table(
+    raw: Mapping[str, DataFrame], compounds: Sequence[str] = ALL_COMPOUNDS, single_winner: bool = False
+) -> DataFrame:
+    """Results with winner, pace, weather, laps, track status, corners and event of the race.
+
+    A result has a row for each winner of a dead heat, or one row with `single_winner`.
+    """
     results = raw["results"]
     event = with_time_of_day(raw["schedule"]).select(*SESSION, *EVENT_COLUMNS)
     sessions = combine_sessions(
         [
-            race_winners(results),
+            race_winners(results, single=single_winner),
             weather_summary(raw["weather"], "RACE_"),
             status_counts(raw["track_status"], "RACE_", MESSAGES),
             corner_counts(raw["corners"]),
