@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lapwise.session import shared_folder, ship, stage
 
-__all__ = ["stage", "stage_large", "ship", "table", "digest", "utf8_bytes", "joined", "PrefixHash", "word_bounds", "mix"]
+__all__ = ["stage", "stage_large", "ship", "table", "digest", "utf8_bytes", "parted", "joined", "PrefixHash", "word_bounds", "mix"]
 
 #: Texts are handled in lots of about so many bytes, so that arrays of a lot stay small.
 LOT_BYTES = 1 << 19
@@ -52,6 +52,13 @@ def lots(sizes: Iterable[int], most: int = LOT_BYTES) -> Iterator[slice]:
         yield slice(start, place + 1)
 
 
+def parted(batches, rows: int = 512):
+    """Batches of few rows, so that a worker holds a few texts or sets as Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All bytes in a row, and where each text starts (one more entry: the end)."""
     starts = np.zeros(len(texts) + 1, np.int64)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lapwise.llm.common import digest, lots, mix, ship, stage
+from lapwise.llm.common import digest, lots, mix, parted, ship, stage
 from lapwise.llm.shingles import shingles
 
 #: Document frequencies are counted in so many buckets of shingle hashes, at any size of the table.
@@ -18,6 +18,8 @@ BUCKETS = 1 << 18
 _SLICES, _FAN_IN = 64, 256
 #: Buckets of up to so many members are compared in full; bands and their rows for differences from a leader.
 SMALL = 5
+#: What so many members of a larger bucket hold in the middle tells which member is like most of them, and leads.
+SPEAKERS = 15
 #: So many bands leave 0.9 percent apart of those whose differences overlap by 2/7, and 0.05 percent at a third.
 APART_BANDS, APART_ROWS = 200, 3
 #: Members less similar to a leader than this are not dealt by it, as all of them lack nearly the whole leader.
@@ -37,7 +39,7 @@ def document_frequencies(docs: DataFrame, words: int) -> tuple[np.ndarray, int]:
 
     def count(batches):
         total, seen = np.zeros(BUCKETS, np.int64), 0
-        for batch in batches:
+        for batch in parted(batches):
             texts = [b"" if t is None else t.encode() for t in batch.column("text").to_pylist()]
             for lot in lots(map(len, texts)):
                 owner, hashes, _ = shingles(texts[lot], words)
@@ -132,13 +134,6 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return shared / whole if whole else 0.0
 
 
-def parted(batches, rows: int = 512):
-    """Batches of few rows, as a row holds two whole sets."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
 def weighted(hashes: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(hashes, np.uint32), np.frombuffer(weights, np.float16).astype(np.float64)
 
@@ -154,6 +149,16 @@ def differences(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarra
     return mix(hashes[some].astype(np.uint64) * np.uint64(2) + more.astype(np.uint64)), np.abs(gap[some])
 
 
+def middle(sets: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The set in the middle of some: each hash with its median weight, without those that most sets lack."""
+    hashes, weights = np.concatenate([h for h, _ in sets]), np.concatenate([w for _, w in sets])
+    order = np.lexsort((weights, hashes))
+    hashes, weights = hashes[order], weights[order]
+    heads = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
+    place = np.diff(np.r_[heads, len(hashes)]) - 1 - len(sets) // 2  # sets that lack the hash come first
+    return hashes[heads[place >= 0]], weights[(heads + place)[place >= 0]]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the least node that links lead to, for every node of `edges` (a, b).
 
@@ -194,8 +199,11 @@ def near_duplicates(
 
     Shingles are `words` words; a shorter text with any word is one shingle. Texts
     that share the samples of a whole band meet in a bucket. In each bucket all
-    members are compared with a leader, the member with the fullest buckets, and in
-    buckets of up to `SMALL` members all pairs of different components. A larger
+    members are compared with a leader, and in buckets of up to `SMALL` members all
+    pairs of different components. There the member with the fullest buckets leads,
+    in larger ones the member most like the middle of `SPEAKERS` such members: what
+    sets a leader apart from the others would be common to all differences from it,
+    and deal them together. A larger
     bucket in which several components remain is dealt anew by what sets its
     members apart from the leader, more and less alike: if two texts link at 0.8 but
     neither links to the leader, their differences from it have a weighted Jaccard
@@ -223,7 +231,7 @@ def near_duplicates(
     def sampled(batches):
         sampler, weights = Sampler(bands * rows), held.value
         band_seed = mix(np.arange(1, rows + 1, dtype=np.uint64)) | np.uint64(1)
-        for batch in batches:
+        for batch in parted(batches):
             texts = [b"" if t is None else t.encode() for t in batch.column("text").to_pylist()]
             out: list = [None] * len(texts)
             for lot in lots(map(len, texts)):
@@ -240,7 +248,7 @@ def near_duplicates(
 
     def weighed(batches):
         weights = held.value
-        for batch in batches:
+        for batch in parted(batches):
             texts = [b"" if t is None else t.encode() for t in batch.column("text").to_pylist()]
             sets: list = [(b"", b"")] * len(texts)
             for lot in lots(map(len, texts)):
@@ -356,6 +364,32 @@ def near_duplicates(
         buckets = buckets.join(once, ["band", "value"])
         return stage(buckets.join(weight, "node").select("band", "value", "node", "size", "central"), "buckets")
 
+    def spoken(frame: pd.DataFrame) -> pd.DataFrame:
+        hashes, weights = middle([weighted(h, w) for h, w in zip(frame["hashes"], frame["weights"])])
+        return pd.DataFrame({
+            "band": frame["band"].iloc[:1], "value": frame["value"].iloc[:1],
+            "hashes_b": [hashes.tobytes()], "weights_b": [weights.astype(np.float16).tobytes()],
+        })
+
+    def likened(batches):
+        for batch in parted(batches):
+            columns = [batch.column(n).to_pylist() for n in ("hashes", "weights", "hashes_b", "weights_b")]
+            alike = [weighted_jaccard(weighted(ha, wa), weighted(hb, wb)) for ha, wa, hb, wb in zip(*columns)]
+            yield batch.select(["band", "value", "node", "size", "central"]).append_column("alike", pa.array(alike, pa.float64()))
+
+    def typical(buckets: DataFrame) -> DataFrame:
+        """Buckets with how alike (`alike`) a member of a large one is to the set in the middle of some members."""
+        large = buckets.where(F.col("size") > SMALL)
+        turn = F.row_number().over(Window.partitionBy("band", "value").orderBy(F.desc("central"), "node"))
+        some = large.withColumn("turn", turn).where(F.col("turn") <= SPEAKERS).select("band", "value", "node").join(sets, "node")
+        middles = stage(
+            some.groupBy("band", "value").applyInPandas(spoken, "band int, value long, hashes_b binary, weights_b binary"), "middles"
+        )
+        told = large.join(sets, "node").join(middles, ["band", "value"]).mapInArrow(
+            likened, "band int, value long, node string, size long, central long, alike double"
+        )
+        return stage(told.unionByName(buckets.where(F.col("size") <= SMALL).withColumn("alike", F.lit(0.0))), "buckets")
+
     def mixed(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
         """Members of buckets that hold several components, with their labels."""
         now = buckets.withColumn("label", F.col("node")) if labels is None else buckets.join(
@@ -366,7 +400,7 @@ def near_duplicates(
         )
         return stage(now.join(several, ["band", "value"]), "open-buckets")
 
-    by_centre = Window.partitionBy("band", "value").orderBy(F.desc("central"), "node")
+    by_centre = Window.partitionBy("band", "value").orderBy(F.desc("alike"), F.desc("central"), "node")
 
     def led(live: DataFrame, tried: int, leaders: int) -> DataFrame:
         leading = (
@@ -400,7 +434,7 @@ def near_duplicates(
         older = labels.join(merged.toDF("label", "new"), "label", "left").select("node", F.coalesce("new", "label").alias("label"))
         return stage(older.unionByName(merged.join(labels, "node", "left_anti")), "labels")
 
-    met = central(met)
+    met = typical(central(met))
     labels = linked(mixed(met, None), None, 0, 1)
     live = mixed(met, labels)
     small = live.where(F.col("size").between(3, SMALL))
@@ -415,7 +449,7 @@ def near_duplicates(
         far = stage(far.select((F.col("band") + APART_BANDS).alias("band"), "value", "node"), "further")
         dealt = dealt.where("band >= 0").select("band", F.xxhash64("leader", "value").alias("value"), "node").unionByName(far)
         counts = dealt.groupBy("band", "value").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        met = central(dealt.join(counts, ["band", "value"]))
+        met = central(dealt.join(counts, ["band", "value"])).withColumn("alike", F.lit(0.0))
         leaders, tried = 1, 0
         while True:
             # a bucket whose members have all led, but for one, holds no pair that was not compared

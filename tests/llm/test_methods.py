@@ -10,10 +10,10 @@ from words import passage
 from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
-from lapwise.llm import pii
+from lapwise.llm import neardup, pii
 from lapwise.llm.fmindex import FMIndex, suffix_order
 from lapwise.llm.hilbert import hilbert_keys
-from lapwise.llm.neardup import Sampler, components, near_duplicates, weighted_jaccard
+from lapwise.llm.neardup import Sampler, components, middle, near_duplicates, weighted_jaccard
 from lapwise.llm.neighbours import nearest
 from lapwise.llm.packing import cuts, first_fit
 from lapwise.llm.queries import vocabulary_path
@@ -107,6 +107,36 @@ def test_pairs_that_only_lack_what_a_group_carries_find_each_other(spark):
     assert found == {doc: doc - doc % 100 + (50 if doc % 100 >= 50 else 0) for doc, _ in rows}
 
 
+def test_middle_holds_what_most_sets_hold():
+    sets = [(np.array(h, np.uint32), np.array(w, np.float64)) for h, w in [([1, 2, 5], [1, 2, 1]), ([1, 3], [1.5, 1]), ([1, 2], [2, 1])]]
+    assert [a.tolist() for a in middle(sets)] == [[1, 2], [1.5, 1]]
+    assert [a.tolist() for a in middle(sets[:2])] == [[1], [1]]
+    assert [len(a) for a in middle([(np.zeros(0, np.uint32), np.zeros(0))] * 3)] == [0, 0]
+
+
+def test_copies_too_far_from_their_origin_are_not_all_compared(spark, monkeypatch):
+    """Copies near the origin share all its buckets with it, and would deal the far ones together if one of them led."""
+    draw = np.random.default_rng(7)
+    origin, rows = passage(3, 200).split(), []
+    for copy in range(400):
+        words = list(origin)
+        for place in draw.permutation(200)[: 0 if copy == 150 else 3 if copy < 150 else draw.integers(14, 22)]:
+            words[place] = f"own{copy}at{place}"
+        rows.append((copy, " ".join(words)))
+    pairs, real = [], neardup.stage
+
+    def counted(df, label):
+        out = real(df, label)
+        if label == "pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "stage", counted)
+    found = {r["doc_id"]: r["class_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {copy: 0 if copy <= 150 else copy for copy in range(400)}
+    assert sum(pairs) < 8_000, pairs
+
+
 def test_near_duplicate_classes_equal_all_links(spark, small, texts):
     found = {r["doc_id"]: r["class_id"] for r in queries()["op10_near_duplicates"](spark, small).collect()}
     sets = {}
