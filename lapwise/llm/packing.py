@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lapwise.llm.common import lots, ship, stage
+from lapwise.llm.common import lots, parted, ship, stage
 from lapwise.llm.tokens import encoder
 
 #: A document's end is marked by this id, which counts as its last token.
@@ -86,7 +86,7 @@ def harmonic_pack(
         bins: dict[int, list] = {}
         numbered = 0
         out: list[tuple] = []
-        for batch in batches:
+        for batch in parted(batches):
             ids = batch.column("id").to_pylist()
             texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
             for lot in lots(map(len, texts)):

@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lapwise.llm.common import PrefixHash, joined, lots, lowered, mix, ship, word_bounds
+from lapwise.llm.common import PrefixHash, joined, lots, lowered, mix, parted, ship, word_bounds
 
 #: Categories in the order of the chain: a name, and SQL over the columns of documents and labels.
 CATEGORIES = (
@@ -173,7 +173,7 @@ def train(
     )
 
     def hashed(batches):
-        for batch in batches:
+        for batch in parted(batches):
             texts = [b"" if t is None else t.encode() for t in batch.column("text").to_pylist()]
             found: list = [b""] * len(texts)
             for lot in lots(map(len, texts)):
@@ -245,7 +245,7 @@ def toxicity(
     held = docs.sparkSession.sparkContext.broadcast(models)
 
     def scored(batches):
-        for batch in batches:
+        for batch in parted(batches):
             texts = [b"" if t is None else t.encode() for t in batch.column("text").to_pylist()]
             found = _scored(held.value, texts, len(names))
             yield pa.RecordBatch.from_arrays(
@@ -265,7 +265,7 @@ def without_toxic(docs: DataFrame, documents: DataFrame, labels: DataFrame, text
     held = docs.sparkSession.sparkContext.broadcast(models)
 
     def passed(batches):
-        for batch in batches:
+        for batch in parted(batches):
             texts = [b"" if t is None else t.encode() for t in batch.column(text_col).to_pylist()]
             yield batch.filter(pa.array(_scored(held.value, texts, len(names))[:, -1] < least, pa.bool_()))
 
