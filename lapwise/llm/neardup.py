@@ -26,6 +26,8 @@ APART_BANDS, APART_ROWS = 200, 3
 APART_FROM = 0.4
 #: They are dealt by keys of so many samples of their own, in as many bands as leave this share of links apart.
 FAR_ROWS, FAR_LOSS = 8, 0.001
+#: Shingles are compared over all texts of large buckets in slices of about so many bytes of hashes.
+SLICE_BYTES = 1 << 20
 #: How much of a shingle's weight its rarity decides: weights lie between tf and (1 + RARITY) * tf.
 RARITY = 0.1
 
@@ -159,6 +161,44 @@ def middle(sets: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
     return hashes[heads[place >= 0]], weights[(heads + place)[place >= 0]]
 
 
+def shared_weights(held: DataFrame) -> DataFrame:
+    """(node, whole, shared): weight of each set, and of its hashes that a set of another label holds too.
+
+    `held` has node, label (long), hashes in order and weights. Hashes are dealt by ranges, in as
+    many slices as their bytes ask for, so a slice stays small at any number of sets.
+    """
+    slices = int(held.agg(F.sum(F.octet_length("hashes"))).first()[0] or 0) // SLICE_BYTES + 1
+
+    def cut(batches):
+        edges = (np.arange(1, slices, dtype=np.uint64) << np.uint64(32)) // np.uint64(slices)
+        for batch in parted(batches):
+            rows = []
+            for node, label, hashes, weights in zip(*(batch.column(n).to_pylist() for n in ("node", "label", "hashes", "weights"))):
+                ends = [0, *np.searchsorted(np.frombuffer(hashes, np.uint32), edges).tolist(), len(hashes) // 4]
+                rows += [(s, node, label, hashes[4 * a : 4 * b], weights[2 * a : 2 * b]) for s, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
+            if rows:
+                kinds = (pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["slice", "node", "label", "hashes", "weights"]
+                )
+
+    def summed(frame: pd.DataFrame) -> pd.DataFrame:
+        hashes, weights = weighted(b"".join(frame["hashes"]), b"".join(frame["weights"]))
+        counts = frame["hashes"].map(len).to_numpy() // 4
+        row = np.repeat(np.arange(len(frame)), counts)
+        order = np.argsort(hashes, kind="stable")
+        hashes, labels = hashes[order], np.repeat(frame["label"].to_numpy(), counts)[order]
+        heads = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
+        several = np.minimum.reduceat(labels, heads) != np.maximum.reduceat(labels, heads)
+        several = np.repeat(several, np.diff(np.r_[heads, len(hashes)]))
+        shared = np.bincount(row[order], weights[order] * several, len(frame))
+        return pd.DataFrame({"node": frame["node"], "whole": np.bincount(row, weights, len(frame)), "shared": shared})
+
+    parts = held.mapInArrow(cut, "slice int, node string, label long, hashes binary, weights binary")
+    sums = parts.groupBy("slice").applyInPandas(summed, "node string, whole double, shared double")
+    return sums.groupBy("node").agg(F.sum("whole").alias("whole"), F.sum("shared").alias("shared"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the least node that links lead to, for every node of `edges` (a, b).
 
@@ -215,8 +255,12 @@ def near_duplicates(
     in `APART_BANDS` bands of `APART_ROWS`, find such pairs; in their buckets 1, 4, 16, ... members lead until every pair of
     different components has been compared. Members far from the leader, and those
     near enough to it to link to such a member, are dealt by further samples of their
-    own, in longer keys of `FAR_ROWS`, and compared in the same way. So no pair list
-    grows with the square of a group of copies, and no bucket is cut off.
+    own, in longer keys of `FAR_ROWS`, and compared in the same way. No bucket is cut off.
+
+    Before this, texts and pairs leave large buckets that cannot link whatever else they
+    hold: what a text shares with texts of other components (`shared_weights`) bounds the
+    weight that it shares with any one of them, and a link needs t / (1 + t) of the weight
+    of both texts. So far copies whose differences are their own are never paired.
 
     Equal texts are one node before any of this. A missing text equals other
     missing texts; texts without words link to equal texts only. Repeated rows have
@@ -400,14 +444,22 @@ def near_duplicates(
         )
         return stage(now.join(several, ["band", "value"]), "open-buckets")
 
+    def able(buckets: DataFrame) -> DataFrame:
+        """Members that some member of their bucket could link to: a link needs a partner not heavier than `reach`."""
+        ends = buckets.groupBy("band", "value").agg(F.min("whole").alias("least"), F.max("reach").alias("most"))
+        return buckets.join(ends, ["band", "value"]).where("reach >= least and most >= whole").drop("least", "most")
+
     by_centre = Window.partitionBy("band", "value").orderBy(F.desc("alike"), F.desc("central"), "node")
 
     def led(live: DataFrame, tried: int, leaders: int) -> DataFrame:
+        """Members beside new leaders; with bounds, those that could link."""
+        bounds = [c for c in ("whole", "reach") if c in live.columns]
         leading = (
             live.withColumn("turn", F.row_number().over(by_centre)).where(F.col("turn") <= leaders).where(F.col("turn") > tried)
-            .select("band", "value", F.col("node").alias("b"), F.col("label").alias("label_b"))
+            .select("band", "value", F.col("node").alias("b"), F.col("label").alias("label_b"), *[F.col(c).alias(f"{c}_b") for c in bounds])
         )
-        return live.select("band", "value", F.col("node").alias("a"), "label").join(leading, ["band", "value"])
+        pairs = live.select("band", "value", F.col("node").alias("a"), "label", *bounds).join(leading, ["band", "value"])
+        return pairs.where("reach >= whole_b and reach_b >= whole") if bounds else pairs
 
     tested: list[DataFrame] = []
 
@@ -443,13 +495,20 @@ def near_duplicates(
 
     large = mixed(met.where(F.col("size") > SMALL), labels)
     if not large.isEmpty():
-        pairs = led(large, 0, 1).where("a <> b").select("a", "b").distinct()
+        leading = large.withColumn("turn", F.row_number().over(by_centre)).where("turn = 1").select("band", "value", F.col("node").alias("b"))
+        held = stage(large.select("node", F.xxhash64("label").alias("label")).distinct().join(sets, "node"), "held")
+        # whoever links to a text of weight `whole` shares t / (1 + t) of both weights with it; the rest is for rounding
+        reach = (F.col("shared") * ((1 + threshold) / threshold) - F.col("whole") + F.col("whole") * 1e-9).alias("reach")
+        bounds = stage(shared_weights(held).select("node", "whole", reach).where(F.col("reach") >= F.col("whole") * (threshold - 1e-9)), "bounds")
+        large = mixed(able(large.drop("label").join(bounds, "node")).drop("whole", "reach"), labels)
+        pairs = large.select("band", "value", F.col("node").alias("a")).join(leading, ["band", "value"]).where("a <> b").select("a", "b").distinct()
         dealt = stage(compared(pairs).mapInArrow(apart, "node string, leader string, band int, value long"), "apart")
         far = dealt.where("band < 0").select("node").distinct().join(sets, "node").mapInArrow(further, "node string, band int, value long")
         far = stage(far.select((F.col("band") + APART_BANDS).alias("band"), "value", "node"), "further")
         dealt = dealt.where("band >= 0").select("band", F.xxhash64("leader", "value").alias("value"), "node").unionByName(far)
         counts = dealt.groupBy("band", "value").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         met = central(dealt.join(counts, ["band", "value"])).withColumn("alike", F.lit(0.0))
+        met = stage(able(met.join(bounds, "node")), "buckets")
         leaders, tried = 1, 0
         while True:
             # a bucket whose members have all led, but for one, holds no pair that was not compared

@@ -13,7 +13,7 @@ from __spark_entry__ import oracle_sql, queries
 from lapwise.llm import neardup, pii
 from lapwise.llm.fmindex import FMIndex, suffix_order
 from lapwise.llm.hilbert import hilbert_keys
-from lapwise.llm.neardup import Sampler, components, middle, near_duplicates, weighted_jaccard
+from lapwise.llm.neardup import Sampler, components, middle, near_duplicates, shared_weights, weighted_jaccard
 from lapwise.llm.neighbours import nearest
 from lapwise.llm.packing import cuts, first_fit
 from lapwise.llm.queries import vocabulary_path
@@ -137,6 +137,50 @@ def test_copies_too_far_from_their_origin_are_not_all_compared(spark, monkeypatc
     assert sum(pairs) < 8_000, pairs
 
 
+def test_copies_with_edits_of_their_own_are_dropped_before_pairs_are_made(spark, monkeypatch):
+    """Nothing that copies share beside their edits makes a link; pairs that share their edits are still found."""
+    draw = np.random.default_rng(13)
+    origin, rows = passage(4, 200).split(), []
+    for copy in range(500):
+        words = list(origin)
+        for place in draw.permutation(40)[: 0 if copy < 60 else draw.integers(8, 14)]:
+            words[5 * place + 2] = f"own{copy}at{place}"
+        words[0] = f"first{copy}"
+        rows.append((copy, " ".join(words)))
+        if copy >= 480:
+            words[199] = f"last{copy}"
+            rows.append((copy + 500, " ".join(words)))
+    pairs, real = [], neardup.stage
+
+    def counted(df, label):
+        out = real(df, label)
+        if label == "pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "stage", counted)
+    found = {r["doc_id"]: r["class_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {doc: 0 if doc < 60 else doc - 500 * (doc >= 500) for doc, _ in rows}
+    assert sum(pairs[1:]) < 500, pairs
+
+
+def test_shared_weights_equal_a_scan(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SLICE_BYTES", 400)
+    draw = np.random.default_rng(17)
+    pool, sets = draw.integers(0, 1 << 32, 150, np.uint64).astype(np.uint32), {}
+    for node in range(40):
+        hashes = np.sort(draw.choice(pool, draw.integers(0, 30), False))
+        sets[str(node)] = (node // 3, hashes, draw.uniform(1, 4, len(hashes)).astype(np.float16))
+    rows = [(node, label, bytearray(h.tobytes()), bytearray(w.tobytes())) for node, (label, h, w) in sets.items()]
+    frame = spark.createDataFrame(rows, "node string, label long, hashes binary, weights binary")
+    found = {r["node"]: (r["whole"], r["shared"]) for r in shared_weights(frame).collect()}
+    for node, (label, hashes, weights) in sets.items():
+        others = {h for other, held, _ in sets.values() if other != label for h in held.tolist()}
+        wanted = sum(float(w) for h, w in zip(hashes.tolist(), weights) if h in others)
+        assert not len(hashes) or found[node] == (float(weights.astype(np.float64).sum()), wanted)
+    assert len(found) == sum(1 for _, h, _ in sets.values() if len(h))
+
+
 def test_near_duplicate_classes_equal_all_links(spark, small, texts):
     found = {r["doc_id"]: r["class_id"] for r in queries()["op10_near_duplicates"](spark, small).collect()}
     sets = {}
