@@ -322,7 +322,7 @@ def near_duplicates(
         sampler = Sampler(far_bands * FAR_ROWS)
         band_seed = mix(np.arange(1, FAR_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
         for batch in parted(batches):
-            names = batch.column("node").to_pylist()
+            names, own = batch.column("node").to_pylist(), batch.column("own").to_pylist()
             columns = [batch.column(n).to_pylist() for n in ("hashes", "weights")]
             for lot in lots(map(len, columns[0])):
                 some = [weighted(h, w) for h, w in zip(*(c[lot] for c in columns))]
@@ -330,9 +330,9 @@ def near_duplicates(
                 draws = sampler.draw(owner, mix(np.concatenate([h for h, _ in some]).astype(np.uint64)), np.concatenate([w for _, w in some]))
                 values = mix((draws.reshape(len(draws), far_bands, FAR_ROWS) * band_seed).sum(axis=2, dtype=np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([n for n in names[lot] for _ in range(far_bands)]),
+                    [pa.array([n for n in names[lot] for _ in range(far_bands)]), pa.array(np.repeat(own[lot], far_bands), pa.int64()),
                      pa.array(np.tile(np.arange(far_bands, dtype=np.int32), len(some))), pa.array(values.ravel())],
-                    names=["node", "band", "value"],
+                    names=["node", "own", "band", "value"],
                 )
 
     def apart(batches):
@@ -343,7 +343,7 @@ def near_duplicates(
         sampler = Sampler(APART_BANDS * APART_ROWS)
         band_seed = mix(np.arange(1, APART_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
         for batch in parted(batches):
-            names, leaders = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            names, own, leaders = (batch.column(n).to_pylist() for n in ("a", "own", "b"))
             columns = [batch.column(n).to_pylist() for n in ("hashes_a", "weights_a", "hashes_b", "weights_b")]
             for lot in lots([len(h) + len(g) for h, g in zip(columns[0], columns[2])]):
                 owner, keys, weights, far = [], [], [], []
@@ -360,9 +360,9 @@ def near_duplicates(
                     weights.append(more)
                 if far:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([names[r] for r in far]), pa.array([leaders[r] for r in far]),
+                        [pa.array([names[r] for r in far]), pa.array([own[r] for r in far], pa.int64()), pa.array([leaders[r] for r in far]),
                          pa.array([-1] * len(far), pa.int32()), pa.array([0] * len(far), pa.int64())],
-                        names=["node", "leader", "band", "value"],
+                        names=["node", "own", "leader", "band", "value"],
                     )
                 if not sum(map(len, owner)):
                     continue
@@ -372,9 +372,10 @@ def near_duplicates(
                 rows_ = np.unique(owner)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([names[lot.start + r] for r in rows_ for _ in range(APART_BANDS)]),
+                     pa.array(np.repeat([own[lot.start + r] for r in rows_], APART_BANDS), pa.int64()),
                      pa.array([leaders[lot.start + r] for r in rows_ for _ in range(APART_BANDS)]),
                      pa.array(np.tile(np.arange(APART_BANDS, dtype=np.int32), len(rows_))), pa.array(values.ravel())],
-                    names=["node", "leader", "band", "value"],
+                    names=["node", "own", "leader", "band", "value"],
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -393,11 +394,11 @@ def near_duplicates(
         "shingle-sets",
     )
     def compared(pairs: DataFrame, names: str = "hashes weights") -> DataFrame:
-        """Pairs (a, b) beside the sets of both."""
+        """Pairs (a, b), with what else they carry, beside the sets of both."""
         columns = names.split()
         left = sets.toDF("a", *[f"{c}_a" for c in columns])
         right = sets.toDF("b", *[f"{c}_b" for c in columns])
-        return pairs.join(left, "a").join(right, "b").select("a", "b", *[f"{c}_{side}" for side in "ab" for c in columns])
+        return pairs.join(left, "a").join(right, "b").select(*pairs.columns, *[f"{c}_{side}" for side in "ab" for c in columns])
 
     def central(buckets: DataFrame) -> DataFrame:
         """Buckets with how full a member's buckets are together; of buckets with the same members one stays."""
@@ -501,13 +502,17 @@ def near_duplicates(
         reach = (F.col("shared") * ((1 + threshold) / threshold) - F.col("whole") + F.col("whole") * 1e-9).alias("reach")
         bounds = stage(shared_weights(held).select("node", "whole", reach).where(F.col("reach") >= F.col("whole") * (threshold - 1e-9)), "bounds")
         large = mixed(able(large.drop("label").join(bounds, "node")).drop("whole", "reach"), labels)
-        pairs = large.select("band", "value", F.col("node").alias("a")).join(leading, ["band", "value"]).where("a <> b").select("a", "b").distinct()
-        dealt = stage(compared(pairs).mapInArrow(apart, "node string, leader string, band int, value long"), "apart")
-        far = dealt.where("band < 0").select("node").distinct().join(sets, "node").mapInArrow(further, "node string, band int, value long")
-        far = stage(far.select((F.col("band") + APART_BANDS).alias("band"), "value", "node"), "further")
-        dealt = dealt.where("band >= 0").select("band", F.xxhash64("leader", "value").alias("value"), "node").unionByName(far)
-        counts = dealt.groupBy("band", "value").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        met = central(dealt.join(counts, ["band", "value"])).withColumn("alike", F.lit(0.0))
+        followers = large.select("band", "value", F.col("node").alias("a"), F.xxhash64("label").alias("own"))
+        pairs = followers.join(leading, ["band", "value"]).where("a <> b").select("a", "b", "own").distinct()
+        dealt = stage(compared(pairs).mapInArrow(apart, "node string, own long, leader string, band int, value long"), "apart")
+        far = dealt.where("band < 0").select("node", "own").distinct().join(sets, "node")
+        far = far.mapInArrow(further, "node string, own long, band int, value long")
+        far = stage(far.select((F.col("band") + APART_BANDS).alias("band"), "value", "node", "own"), "further")
+        dealt = dealt.where("band >= 0").select("band", F.xxhash64("leader", "value").alias("value"), "node", "own").unionByName(far)
+        # buckets of one component are left out before their rows are joined with anything
+        counts = dealt.groupBy("band", "value").agg(F.count(F.lit(1)).alias("size"), F.min("own").alias("low"), F.max("own").alias("high"))
+        counts = counts.where("low <> high").select("band", "value", "size")
+        met = central(dealt.drop("own").join(counts, ["band", "value"])).withColumn("alike", F.lit(0.0))
         met = stage(able(met.join(bounds, "node")), "buckets")
         leaders, tried = 1, 0
         while True:
